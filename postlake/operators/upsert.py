@@ -21,7 +21,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_OLD, _NEW, _NTH = "_is_old", "_is_new", "_nth"
+_OLD, _NEW, _CHANGED, _NTH = "_is_old", "_is_new", "_changed", "_nth"
 
 
 def require_unique(source: DataFrame, key: str) -> DataFrame:
@@ -78,39 +78,39 @@ def upsert(
 
     old = target.withColumn(_OLD, F.lit(True)).alias("t")
     new = source.withColumn(_NEW, F.lit(True)).alias("s")
-    merged = [
-        _merged(name, key, source.columns, set_null, guard, keep).alias(name)
-        for name in target.columns
-    ]
     same_key = F.col(f"t.{key}") == F.col(f"s.{key}")
+    if small_source:
+        joined = old.join(F.broadcast(new), same_key, "left")
+    else:
+        joined = old.join(new, same_key, "full_outer")
+    # Decided once per row, in a projection of its own, not once per column.
+    decided = joined.withColumn(_CHANGED, _changed([c for c in guard if c in source.columns]))
+    merged = decided.select(
+        *(_merged(c, key, source.columns, set_null, keep).alias(c) for c in target.columns)
+    )
     if not small_source:
-        return old.join(new, same_key, "full_outer").select(*merged)
-    updated = old.join(F.broadcast(new), same_key, "left").select(*merged)
+        return merged
     fresh = new_rows(target, source, key, small_source=True)
-    return updated.unionByName(fresh, allowMissingColumns=True)
+    return merged.unionByName(fresh, allowMissingColumns=True)
 
 
-def _merged(
-    name: str,
-    key: str,
-    given: Sequence[str],
-    set_null: bool,
-    guard: Sequence[str],
-    keep: Sequence[str],
-) -> Column:
+def _changed(watched: Sequence[str]) -> Column:
+    """Whether the row has a match that calls for an update."""
+    matched = F.col(_NEW).isNotNull()
+    if not watched:
+        return matched
+    return matched & reduce(or_, (~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in watched))
+
+
+def _merged(name: str, key: str, given: Sequence[str], set_null: bool, keep: Sequence[str]) -> Column:
     """Value of one column after the join; see the table at the top."""
     old, new = F.col(f"t.{name}"), F.col(f"s.{name}")
     if name == key:
         return F.coalesce(old, new)
     if name not in given:
         return old
-    inserted = F.col(_OLD).isNull()
+    inserted = F.when(F.col(_OLD).isNull(), new)
     if name in keep:
-        return F.when(inserted, new).otherwise(old)
-    watched = [c for c in guard if c in given]
-    differs = [~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in watched]
-    changed = F.col(_NEW).isNotNull()
-    if differs:
-        changed &= reduce(or_, differs)
+        return inserted.otherwise(old)
     value = new if set_null else F.coalesce(new, old)
-    return F.when(inserted, new).when(changed, value).otherwise(old)
+    return inserted.when(F.col(_CHANGED), value).otherwise(old)

@@ -277,8 +277,6 @@ _FROM_STAR = {
     f"FROM (SELECT {_SILVER_COLUMNS} FROM std WHERE NOT complete)",
     "snk_landing_roundtrip": """SELECT CAST(posting_key AS VARCHAR) AS posting_key, job_title,
         salary, place, array_to_string(string_split(skills, ','), '|') AS skills, job_url FROM raw""",
-    "snk_append": """SELECT posting_key, source, ingested_at, CAST(ingested_at AS DATE) AS ingest_date
-        FROM raw""",
     "snk_retention": """SELECT posting_key, ingested_at FROM raw
         WHERE ingested_at >= TIMESTAMP '1998-08-02' - INTERVAL 30 DAY""",
     "flt_required_split": "SELECT posting_key, complete FROM std",
@@ -369,6 +367,8 @@ _FROM_STAR = {
         FROM every_fact""",
     "dq_dup_job_id": """SELECT job_id, count(*) AS duplicate_count FROM every_fact GROUP BY job_id
         HAVING count(*) > 1""",
+    "dq_dup_company_id": """SELECT company_id, count(*) AS duplicate_count FROM every_fact
+        GROUP BY company_id HAVING count(*) > 1""",
     "dq_dup_dim_keys": " UNION ALL ".join(
         f"SELECT '{key}' AS key, {key} AS id, count(*) AS duplicate_count FROM {dim} "
         f"GROUP BY {key} HAVING count(*) > 1"
@@ -405,8 +405,15 @@ _FROM_TABLES = {
         CASE WHEN NOT json_valid(t) THEN t END AS _corrupt_record
         FROM (SELECT event_id, CASE WHEN event_type = 'error'
             THEN substring(props, 1, length(props) - 1) ELSE props END AS t FROM events)""",
+    "snk_append": "SELECT *, CAST(ts AS DATE) AS ingest_date FROM events",
     "flt_day_slice": """SELECT * FROM events
         WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'""",
+    "dq_salary_inverted_amounts": """SELECT * FROM (SELECT l_orderkey || '-' || l_linenumber AS job_id,
+        l_quantity AS salary_min, l_extendedprice / 1000 AS salary_max FROM lineitem)
+        WHERE salary_min > salary_max""",
+    "dq_salary_negative_amounts": """SELECT * FROM (SELECT CAST(c_custkey AS VARCHAR) AS job_id,
+        c_acctbal AS salary_min, c_acctbal + 100 AS salary_max FROM customer)
+        WHERE salary_min < 0 OR salary_max < 0""",
     "web_links": """SELECT DISTINCT page_id,
         CASE WHEN href LIKE '/%' THEN 'https://jobs.example' || href ELSE href END AS link
         FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a[^>]* href="([^"]*)"', 1)) AS href

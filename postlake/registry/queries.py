@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
@@ -69,14 +68,13 @@ def snk_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snk_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All postings appended to a day-partitioned table, read back with the day."""
+    """All events appended to a day-partitioned table, read back with the day."""
     sinks.create_namespaces(spark, stage.staging_path(spark, sf_dir, "lake"))
-    table = "bronze.postings_" + stage.staging_path(spark, sf_dir, "x").split("/")[-2]
+    table = "bronze.events_" + stage.staging_path(spark, sf_dir, "x").split("/")[-2]
     if not spark.catalog.tableExists(table):
-        rows = raw_postings(spark, sf_dir).select("posting_key", "source", "ingested_at")
+        rows = _table(spark, sf_dir, "events").withColumn("ingest_date", F.to_date("ts"))
         # Many days at once: gather each for few files; AQE splits a large day.
-        by_day = rows.withColumn("ingest_date", F.to_date("ingested_at")).hint("rebalance", "ingest_date")
-        sinks.append_or_create(by_day, table, "ingested_at")
+        sinks.append_or_create(rows.hint("rebalance", "ingest_date"), table, "ts")
     return spark.table(table)
 
 
@@ -235,17 +233,17 @@ def ups_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ups_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = gold.dim_company(_update_batch(spark, sf_dir))
-    return upsert(stage.star(spark, sf_dir).dim_company, source, "company_id", set_null=True)
+    return upsert(stage.StagedStar(spark, sf_dir).dim_company, source, "company_id", set_null=True)
 
 
 def ups_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = gold.fact_job_postings(_update_batch(spark, sf_dir))
-    return upsert(stage.star(spark, sf_dir).fact_job_postings, source, "job_id")
+    return upsert(stage.StagedStar(spark, sf_dir).fact_job_postings, source, "job_id")
 
 
 def ups_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = gold.bridge_job_skills(_update_batch(spark, sf_dir), one_row_per_job=True)
-    target = stage.star(spark, sf_dir).bridge_job_skills
+    target = stage.StagedStar(spark, sf_dir).bridge_job_skills
     return upsert(target, source, "bridge_id", insert_only=True)
 
 
@@ -253,39 +251,52 @@ def ups_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _asked(question: Callable[[Star], DataFrame]) -> Query:
-    return lambda spark, sf_dir: question(stage.star(spark, sf_dir))
+    return lambda spark, sf_dir: question(stage.StagedStar(spark, sf_dir))
 
 
 def srv_salary_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = stage.star(spark, sf_dir).fact_job_postings
+    facts = stage.StagedStar(spark, sf_dir).fact_job_postings
     text = salary_text(F.col("salary_min"), F.col("salary_max"), F.col("salary_currency"))
     return facts.select("job_id", text.alias("salary_text"))
 
 
-def _unchecked(spark: SparkSession, sf_dir: str) -> Star:
-    """The published dimensions next to facts nobody split or deduplicated, so
-    that the checks have something to find."""
-    rows = silver_plan.to_silver(raw_postings(spark, sf_dir))
-    return dataclasses.replace(
-        stage.star(spark, sf_dir),
-        fact_job_postings=gold.fact_job_postings(rows),
-        bridge_job_skills=gold.bridge_job_skills(rows),
-    )
-
-
 def _checked(check: Callable[[Star], DataFrame]) -> Query:
-    return lambda spark, sf_dir: check(_unchecked(spark, sf_dir))
+    return lambda spark, sf_dir: check(stage.UncheckedStar(spark, sf_dir))
 
 
 def dq_bridge_orphan_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of all postings against the published facts."""
-    published = stage.star(spark, sf_dir)
-    links = _unchecked(spark, sf_dir).bridge_job_skills
-    return quality.invalid_bridge_jobs(dataclasses.replace(published, bridge_job_skills=links))
+    return aggregate.orphans(
+        stage.UncheckedStar(spark, sf_dir).bridge_job_skills,
+        stage.StagedStar(spark, sf_dir).fact_job_postings,
+        "job_id",
+        "invalid_bridge_jobs",
+        nulls_count=True,
+    )
+
+
+def dq_salary_inverted_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check on amounts that do cross: quantity and thousandth of the price."""
+    amounts = _table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("job_id"),
+        F.col("l_quantity").alias("salary_min"),
+        (F.col("l_extendedprice") / 1000).alias("salary_max"),
+    )
+    return quality.salary_inverted_rows(amounts)
+
+
+def dq_salary_negative_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check on amounts that do go below zero: account balances."""
+    amounts = _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("job_id"),
+        F.col("c_acctbal").alias("salary_min"),
+        (F.col("c_acctbal") + 100).alias("salary_max"),
+    )
+    return quality.salary_negative_rows(amounts)
 
 
 def dq_dup_dim_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = stage.star(spark, sf_dir)
+    star = stage.StagedStar(spark, sf_dir)
     keyed = {
         "company_id": star.dim_company,
         "location_id": star.dim_location,
@@ -385,6 +396,11 @@ QUERIES: dict[str, Query] = {
     "dq_bridge_orphan_jobs": dq_bridge_orphan_jobs,
     "dq_bridge_orphan_skills": _checked(quality.invalid_bridge_skills),
     "dq_salary_inverted": _checked(lambda s: quality.salary_inverted_rows(s.fact_job_postings)),
+    "dq_salary_inverted_amounts": dq_salary_inverted_amounts,
+    "dq_salary_negative_amounts": dq_salary_negative_amounts,
+    "dq_dup_company_id": _checked(
+        lambda star: quality.duplicates(star.fact_job_postings, "company_id")
+    ),
     "dq_salary_negative": _checked(lambda s: quality.salary_negative_rows(s.fact_job_postings)),
     "dq_batch_metrics": dq_batch_metrics,
     "web_links": web_links,

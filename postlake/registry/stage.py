@@ -7,18 +7,19 @@ from the given tables, kept in the shared staging folder and read from there.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from postlake.fixtures import raw_postings
 from postlake.plans import gold
-from postlake.plans.serving import Star
-from postlake.plans.silver import silver_batch
+from postlake.plans.silver import silver_batch, to_silver
 from postlake.session import staging_root
 
 TIE_BREAKS = ("posting_key",)
 
-_written: set[str] = set()
+_tables: dict[str, DataFrame] = {}
 
 
 def staging_path(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -27,13 +28,13 @@ def staging_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"{staging_root(spark)}/{run}/{data}/{name}"
 
 
-def staged(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+def staged(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """The named table; made and written on first use in this session."""
     path = staging_path(spark, sf_dir, name)
-    if path not in _written:
+    if path not in _tables:
         make().write.mode("overwrite").parquet(path)
-        _written.add(path)
-    return spark.read.parquet(path)
+        _tables[path] = spark.read.parquet(path)
+    return _tables[path]
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,15 +44,47 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir, "silver", make)
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    rows = silver(spark, sf_dir)
-    makers = {
-        "dim_company": lambda: gold.dim_company(rows),
-        "dim_location": lambda: gold.dim_location(rows),
-        "dim_job_category": lambda: gold.dim_job_category(rows),
-        "dim_skill": lambda: gold.dim_skill(rows),
-        "dim_level": lambda: gold.dim_level(rows),
-        "fact_job_postings": lambda: gold.fact_job_postings(rows),
-        "bridge_job_skills": lambda: gold.bridge_job_skills(rows, one_row_per_job=True),
-    }
-    return Star(**{name: staged(spark, sf_dir, name, make) for name, make in makers.items()})
+def unchecked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All postings in silver shape, neither split nor deduplicated."""
+    return staged(
+        spark, sf_dir, "unchecked", lambda: to_silver(raw_postings(spark, sf_dir))
+    )
+
+
+_BUILDERS = {
+    "dim_company": gold.dim_company,
+    "dim_location": gold.dim_location,
+    "dim_job_category": gold.dim_job_category,
+    "dim_skill": gold.dim_skill,
+    "dim_level": gold.dim_level,
+    "fact_job_postings": gold.fact_job_postings,
+    "bridge_job_skills": partial(gold.bridge_job_skills, one_row_per_job=True),
+}
+
+
+class StagedStar:
+    """A star schema whose tables are made when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in _BUILDERS:
+            raise AttributeError(name)
+        spark, sf_dir = self._spark, self._sf_dir
+        return staged(spark, sf_dir, name, lambda: _BUILDERS[name](silver(spark, sf_dir)))
+
+
+class UncheckedStar(StagedStar):
+    """The same dimensions next to facts and links of all postings, so that the
+    quality checks have something to find."""
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name == "fact_job_postings":
+            build = gold.fact_job_postings
+        elif name == "bridge_job_skills":
+            build = gold.bridge_job_skills
+        else:
+            return super().__getattr__(name)
+        spark, sf_dir = self._spark, self._sf_dir
+        return staged(spark, sf_dir, f"unchecked_{name}", lambda: build(unchecked(spark, sf_dir)))

@@ -14,7 +14,7 @@ import datetime as dt
 import time
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.functions import terms
@@ -71,12 +71,13 @@ def write_rejects(df: DataFrame, table: str, *, row_level: bool = False) -> bool
     return True
 
 
-def write_quarantine(df: DataFrame, path: str) -> bool:
-    """SNK-2: append unparsable lines as JSON, if there are any."""
+def write_quarantine(df: DataFrame, path: str) -> int:
+    """SNK-2: append unparsable lines as JSON, if there are any; how many there were."""
     if not has_rows(df):
-        return False
-    df.write.mode("append").json(path)
-    return True
+        return 0
+    counts = Observation()
+    df.observe(counts, F.count(F.lit(1)).alias("rows")).write.mode("append").json(path)
+    return counts.get["rows"]
 
 
 # --- versions -----------------------------------------------------------------

@@ -41,8 +41,13 @@ def read_united_day(
     ts: str = "ingested_at",
     *,
     to_the_second: bool = False,
+    skip_empty: bool = True,
 ) -> DataFrame | None:
-    """SRC-4: the day's rows of all tables that exist and have any; None if none has."""
+    """SRC-4: the day's rows of all tables that exist and have any; None if none has.
+
+    Telling whether a table has any may scan it; a caller that stores the
+    union anyway turns ``skip_empty`` off and looks at what came out.
+    """
     frames = []
     for table in tables:
         frame = read_table(spark, table)
@@ -50,6 +55,6 @@ def read_united_day(
             continue
         column = ts if ts in frame.columns else "ingested_at"
         frame = day_slice(frame, day, column, to_the_second=to_the_second)
-        if has_rows(frame):
+        if not skip_empty or has_rows(frame):
             frames.append(frame)
     return union_by_name(frames) if frames else None
