@@ -112,7 +112,8 @@ def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) ->
         spark, lake.table("bronze", source.table), day, to_the_second=lake.as_reference
     )
     conformed = silver_plan.conform_source(bronze, source.name, source.renames)
-    complete, rejected = silver_plan.silver_batch(conformed, dedup_first=lake.as_reference)
+    complete = silver_plan.complete_postings(conformed, dedup_first=lake.as_reference)
+    rejected = silver_plan.rejected_postings(conformed, dedup_first=lake.as_reference)
 
     batch = stage_batch(silver_plan.with_updated_at(complete), source.table)
     kept = batch.count()

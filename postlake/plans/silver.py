@@ -58,22 +58,27 @@ def one_per_posting(df: DataFrame, tie_breaks: Sequence[str] = ()) -> DataFrame:
     return first_per_key(std.generate_job_id(df), ["job_id"], latest_first(df, tie_breaks))
 
 
-def silver_batch(
+def complete_postings(
     conformed: DataFrame, *, tie_breaks: Sequence[str] = (), dedup_first: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """(silver rows, rejected rows) of a batch.
+) -> DataFrame:
+    """Silver rows of a batch.
 
-    Rows are split, then reduced to one per posting, then standardized: the
+    Rows are filtered, then reduced to one per posting, then standardized: the
     expressions run on surviving rows only and the exchange carries source
-    columns.  ``dedup_first`` reduces before the split, so a posting whose
+    columns.  ``dedup_first`` reduces before the filter, so a posting whose
     latest row is incomplete is rejected as a whole.
     """
     if dedup_first:
-        complete, rejected = split_required(one_per_posting(conformed, tie_breaks))
-    else:
-        complete, rejected = split_required(conformed)
-        complete = one_per_posting(complete, tie_breaks)
-    return to_silver(complete), to_silver(rejected)
+        return to_silver(split_required(one_per_posting(conformed, tie_breaks))[0])
+    return to_silver(one_per_posting(split_required(conformed)[0], tie_breaks))
+
+
+def rejected_postings(
+    conformed: DataFrame, *, tie_breaks: Sequence[str] = (), dedup_first: bool = False
+) -> DataFrame:
+    """Rows lacking a required field, in silver shape; no exchange by default."""
+    rows = one_per_posting(conformed, tie_breaks) if dedup_first else conformed
+    return to_silver(split_required(rows)[1])
 
 
 def metrics_input(conformed: DataFrame) -> DataFrame:

@@ -164,9 +164,10 @@ def std_skills_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- silver -------------------------------------------------------------------------------
 
 
-def _batch(spark: SparkSession, sf_dir: str, **how) -> tuple[DataFrame, DataFrame]:
+def _silver(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     raw = raw_postings(spark, sf_dir)
-    return silver_plan.silver_batch(raw, tie_breaks=stage.TIE_BREAKS, **how)
+    silver = silver_plan.complete_postings(raw, tie_breaks=stage.TIE_BREAKS, **how)
+    return _joined(silver, "skills_array")
 
 
 def dst_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,16 +176,16 @@ def dst_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _joined(_batch(spark, sf_dir)[0], "skills_array")
+    return _silver(spark, sf_dir)
 
 
 def silver_postings_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _joined(_batch(spark, sf_dir, dedup_first=True)[0], "skills_array")
+    return _silver(spark, sf_dir, dedup_first=True)
 
 
 def snk_dlq_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = sinks.rejects(_batch(spark, sf_dir)[1]).drop("failed_at")
-    return _joined(rejected, "skills_array")
+    rejected = silver_plan.rejected_postings(raw_postings(spark, sf_dir))
+    return _joined(sinks.rejects(rejected).drop("failed_at"), "skills_array")
 
 
 def srt_cap_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:

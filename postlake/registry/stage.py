@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlake.fixtures import raw_postings
 from postlake.plans import gold
-from postlake.plans.silver import silver_batch, to_silver
+from postlake.plans.silver import complete_postings, to_silver
 from postlake.session import staging_root
 
 TIE_BREAKS = ("posting_key",)
@@ -39,7 +39,7 @@ def staged(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataF
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make() -> DataFrame:
-        return silver_batch(raw_postings(spark, sf_dir), tie_breaks=TIE_BREAKS)[0]
+        return complete_postings(raw_postings(spark, sf_dir), tie_breaks=TIE_BREAKS)
 
     return staged(spark, sf_dir, "silver", make)
 

@@ -19,6 +19,10 @@ SQL_SETTINGS = {
     # Split a hot join key even when it costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never compiles a method of more than 8000 bytes of bytecode.  The
+    # long CASE chains here would run interpreted; above this limit Spark uses
+    # its other code generator, which splits expressions into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Landing directories are month=06: keep the leading zero.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

@@ -125,10 +125,9 @@ def test_dedup_order_decides_what_is_rejected(spark):
     df = spark.createDataFrame(
         rows, "source string, job_url string, job_title string, company_name string, ingested_at string"
     ).withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
-    good, bad = silver_plan.silver_batch(df)
-    assert good.count() == 1 and bad.count() == 1
-    good, bad = silver_plan.silver_batch(df, dedup_first=True)
-    assert good.count() == 0 and bad.count() == 1
+    good, bad = silver_plan.complete_postings, silver_plan.rejected_postings
+    assert good(df).count() == 1 and bad(df).count() == 1
+    assert good(df, dedup_first=True).count() == 0 and bad(df, dedup_first=True).count() == 1
 
 
 def test_gold_from_a_source_with_few_columns(spark):
