@@ -1,0 +1,115 @@
+"""CSS-like lookup in one page, for fields that a regex cannot place.
+
+A small helper on the standard library's tokenizer, used inside Arrow batches.
+Selectors: tags and classes, descendant (blank) and child (">") steps.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
+
+_ENDED_BY_NEXT = {"p", "li", "dt", "dd", "option", "tr", "td", "th"}
+
+
+class Node:
+    def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.classes = set((attrs.get("class") or "").split())
+        self.parts: list[Node | str] = []
+
+    def pieces(self) -> Iterator[Node | str]:
+        """Everything below, in page order; no recursion, as pages may nest deeply."""
+        pending = self.parts[::-1]
+        while pending:
+            part = pending.pop()
+            yield part
+            if isinstance(part, Node):
+                pending += part.parts[::-1]
+
+    def walk(self) -> Iterator[Node]:
+        return (part for part in self.pieces() if isinstance(part, Node))
+
+    def strings(self) -> Iterator[str]:
+        return (part for part in self.pieces() if isinstance(part, str))
+
+    def raw_text(self) -> str:
+        return "".join(self.strings())
+
+    def text(self) -> str:
+        return self.raw_text().strip()
+
+    def select(self, selector: str) -> list[Node]:
+        """Matching nodes below this one, in page order; "," separates alternatives."""
+        ways = [_steps(way) for way in selector.split(",")]
+        return [node for node in self.walk() if any(_matches(node, way, self) for way in ways)]
+
+    def first(self, selector: str) -> Node | None:
+        return next(iter(self.select(selector)), None)
+
+    def next_element(self) -> Node | None:
+        siblings = [p for p in self.parent.parts if isinstance(p, Node)] if self.parent else []
+        after = siblings[siblings.index(self) + 1 :] if self in siblings else []
+        return after[0] if after else None
+
+
+def _steps(selector: str) -> list[tuple[bool, str, set[str]]]:
+    """(direct child?, tag, classes) from left to right."""
+    steps, child = [], False
+    for token in selector.replace(">", " > ").split():
+        if token == ">":
+            child = True
+            continue
+        tag, *classes = token.split(".")
+        steps.append((child, tag, set(classes)))
+        child = False
+    return steps
+
+
+def _matches(node: Node, steps: list, top: Node) -> bool:
+    child, tag, classes = steps[-1]
+    if (tag and node.tag != tag) or not classes <= node.classes:
+        return False
+    if len(steps) == 1:
+        return True
+    parent = node.parent
+    while parent is not None and parent is not top:
+        if _matches(parent, steps[:-1], top):
+            return True
+        if child:
+            return False
+        parent = parent.parent
+    return False
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.open = Node("", {}, None)
+
+    def handle_starttag(self, tag, attrs):
+        if tag in _ENDED_BY_NEXT and self.open.tag == tag:
+            self.open = self.open.parent
+        node = Node(tag, dict(attrs), self.open)
+        self.open.parts.append(node)
+        if tag not in _VOID:
+            self.open = node
+
+    def handle_endtag(self, tag):
+        node = self.open
+        while node is not self.root and node.tag != tag:
+            node = node.parent
+        if node is not self.root:
+            self.open = node.parent
+
+    def handle_data(self, data):
+        self.open.parts.append(data)
+
+
+def parse(html: str) -> Node:
+    builder = _Builder()
+    builder.feed(html)
+    builder.close()
+    return builder.root

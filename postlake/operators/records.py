@@ -1,0 +1,121 @@
+"""Posting pages -> landing records (WEB-2 to WEB-5 with a source's selectors).
+
+Selectors look at nesting, which column expressions cannot; this is the one
+place where rows pass through Python, in Arrow batches, page by page, without
+an exchange.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from postlake.functions import dom
+from postlake.operators.filters import CORRUPT
+from postlake.sources.registry import load_schema
+from postlake.sources.sites import SECTION_HEADINGS, SITES, Labelled, Site
+
+
+def _text(node: dom.Node | None) -> str | None:
+    return node.text() if node else None
+
+
+def _labelled(page: dom.Node, rule: Labelled) -> dict[str, str | None]:
+    """The last block of a label wins."""
+    found: dict[str, str | None] = {}
+    for block in page.select(rule.blocks):
+        label = _text(block.first(rule.label) if rule.label else block.parent)
+        if label is None:
+            continue
+        if rule.part:
+            fits = (c for part, c in rule.columns.items() if part in label.lower())
+            column = next(fits, None)
+        else:
+            column = rule.columns.get(label)
+        if column is None:
+            continue
+        selector = rule.values.get(column, rule.value)
+        value = block.first(selector) if selector else block
+        if value is not None or not rule.part:
+            found[column] = _text(value)
+    return found
+
+
+def _items(node: dom.Node, selector: str) -> list[str]:
+    return [item.text() for item in node.select(selector) if item.text()]
+
+
+def _section_items(body: dom.Node, as_tags: bool) -> list[str]:
+    """List items of a section, else its tags, else its pieces of text."""
+    if body.select("li"):
+        return _items(body, "li")
+    if as_tags and body.select("a"):
+        return _items(body, "a")
+    texts = (text.strip() for text in body.strings())
+    return [text for text in texts if text]
+
+
+def _sections(page: dom.Node, site: Site) -> dict[str, list[str]]:
+    found: dict[str, list[str]] = {column: [] for column in site.sections}
+    for heading in page.select(SECTION_HEADINGS):
+        body = heading.next_element()
+        title = heading.text().lower()
+        fits = (c for c, parts in site.sections.items() if any(p in title for p in parts))
+        column = next(fits, None)
+        if body is not None and column is not None:
+            found[column] += _section_items(body, as_tags=column == "skills")
+    return found
+
+
+def record(html: str, site: Site) -> dict[str, object] | None:
+    """One page as a landing record; None where a required title is absent."""
+    page = dom.parse(html)
+    out: dict[str, object] = {}
+    for column, selector in site.texts.items():
+        node = page.first(selector)
+        raw = column in site.unstripped and node is not None
+        out[column] = node.raw_text() if raw else _text(node)
+    for column, selector in site.links.items():
+        node = page.first(selector)
+        link = node.attrs.get("href") if node else None
+        out[column] = site.host + link if link else None
+    for column, (selector, at, inner) in site.nth.items():
+        blocks = page.select(selector)
+        out[column] = _text(blocks[at].first(inner)) if at < len(blocks) else None
+    if site.labelled:
+        out |= {column: None for column in site.labelled.columns.values()}
+        out |= _labelled(page, site.labelled)
+    for column, selector in site.lists.items():
+        out[column] = _items(page, selector)
+    for column, (selector, at) in site.nth_lists.items():
+        blocks = page.select(selector)
+        # The last block is a list of its own only if it is not the numbered one.
+        taken = at if at >= 0 else (len(blocks) - 1 if len(blocks) != 2 else len(blocks))
+        out[column] = _items(blocks[taken], "li") if 0 <= taken < len(blocks) else []
+    out |= _sections(page, site)
+    return None if site.title_required and not out.get("job_title") else out
+
+
+def extract_records(pages: DataFrame, source: str, html: str = "html", url: str = "url") -> DataFrame:
+    """Pages of one source as rows of its landing schema, ``job_url`` from the page."""
+    schema = load_schema(source)
+    fields = [f for f in schema.fields if f.name not in (CORRUPT, "inserted_at")]
+    names = [f.name for f in fields]
+    site = SITES[source]
+
+    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for page, link in zip(batch[html], batch[url]):
+                found = record(page, site) if page is not None else None
+                if found is not None:
+                    rows.append({**found, "job_url": link})
+            yield pd.DataFrame(rows, columns=names)
+
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    records = pages.select(html, url).mapInPandas(extract, ddl)
+    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
+    return records.withColumn("inserted_at", stamp)

@@ -125,7 +125,7 @@ def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) ->
             row_level=lake.row_level,
             partition_ts="ingested_at",
             buckets=lake.buckets,
-            source_rows=kept,
+            small_source=sinks.fits_broadcast(batch),
             guard=silver_plan.GUARD,
             keep=silver_plan.KEEP,
         )
@@ -168,9 +168,10 @@ def run_gold(
         return False
     # One scan of silver for the day; the seven builders read their columns of it.
     rows = stage_batch(united, "gold")
-    count = rows.count()
-    if count == 0:
+    if not has_rows(rows):
         return False
+    # Dimensions and facts are narrower than the rows they come from.
+    small = sinks.fits_broadcast(rows)
 
     def put(df: DataFrame, name: str, key: str, **rule) -> None:
         sinks.upsert_table(
@@ -179,7 +180,7 @@ def run_gold(
             key,
             row_level=lake.row_level,
             buckets=lake.buckets,
-            source_rows=count,
+            small_source=small,
             **rule,
         )
 
@@ -195,7 +196,7 @@ def run_gold(
         lake.table("gold", "bridge_job_skills"),
         "bridge_id",
         row_level=lake.row_level,
-        source_rows=links.count(),
+        small_source=sinks.fits_broadcast(links),
     )
     return True
 

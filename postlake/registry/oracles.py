@@ -422,6 +422,9 @@ _FROM_TABLES = {
         replace(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),
         '&lt;', '<'), '&amp;', '&')) END AS job_title FROM pages)
         WHERE job_title IS NOT NULL AND job_title <> ''""",
+    "web_records": r"""SELECT url AS job_url, trim(replace(replace(regexp_replace(
+        regexp_extract(html, '<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g'), '&lt;', '<'), '&amp;', '&'))
+        AS job_title FROM pages""",
     "web_list_items": r"""SELECT page_id, array_to_string(list_filter(list_transform(
         regexp_extract_all(html, '<li>(.*?)</li>', 1),
         lambda x: trim(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&amp;', '&'))),

@@ -23,8 +23,8 @@ from postlake.operators.upsert import new_rows, require_unique, upsert
 
 NAMESPACES = ("sandbox", "bronze", "silver", "gold")
 
-# A batch of at most this many rows may be broadcast (postings are about 1 KB).
-BROADCAST_ROWS = 200_000
+# An upsert source may be broadcast if its rows, as stored in memory, stay below this.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def create_namespaces(spark: SparkSession, root: str | None = None, catalog: str | None = None):
@@ -80,6 +80,13 @@ def write_quarantine(df: DataFrame, path: str) -> int:
     return counts.get["rows"]
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Measured, not estimated: the text of all values plus 8 bytes per field."""
+    text = F.octet_length(F.to_json(F.struct("*")))
+    size = df.agg(F.sum(text + 8 * len(df.columns)).alias("bytes")).first()["bytes"]
+    return (size or 0) <= BROADCAST_BYTES
+
+
 # --- versions -----------------------------------------------------------------
 
 
@@ -154,7 +161,7 @@ def upsert_table(
     row_level: bool = False,
     partition_ts: str | None = None,
     buckets: int | None = None,
-    source_rows: int | None = None,
+    small_source: bool = False,
     **rule,
 ) -> None:
     """Upsert into a table, creating it on the first run (UPS-5)."""
@@ -166,12 +173,11 @@ def upsert_table(
         else:
             append_or_create(require_unique(source, key), table, partition_ts, row_level=True)
         return
-    small = source_rows is not None and source_rows <= BROADCAST_ROWS
     if not exists:
         publish_version(require_unique(source, key), table, bucket_by=key, buckets=buckets)
         return
     target = spark.table(table)
-    merged = upsert(target, source, key, small_source=small, **rule)
+    merged = upsert(target, source, key, small_source=small_source, **rule)
     publish_version(merged, table, bucket_by=key, buckets=buckets)
 
 
@@ -181,7 +187,7 @@ def append_new(
     key: str,
     *,
     row_level: bool = False,
-    source_rows: int | None = None,
+    small_source: bool = False,
 ) -> None:
     """Insert-only upsert (UPS-4): known rows are never rewritten, new ones are appended."""
     spark = source.sparkSession
@@ -190,8 +196,7 @@ def append_new(
         if row_level:
             native_merge(source, table, key, insert_only=True)
             return
-        small = source_rows is not None and source_rows <= BROADCAST_ROWS
-        source = new_rows(spark.table(table), source, key, small_source=small)
+        source = new_rows(spark.table(table), source, key, small_source=small_source)
     append_or_create(source, table, row_level=row_level)
 
 

@@ -1,0 +1,153 @@
+"""Where each source keeps its fields on a posting page.
+
+Fixed values: selectors and labels, as the pages use them.  How they are
+applied is in ``postlake.operators.records``.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+
+@dataclass(frozen=True)
+class Labelled:
+    """Blocks that hold a label and its value.
+
+    ``columns`` maps a label to its column; of several that fit, the first
+    listed.  ``part`` compares by substring of the lower-case label.  Without
+    ``label`` the block is the value, and the label stands in its parent.
+    """
+
+    blocks: str
+    columns: dict[str, str]
+    label: str = ""
+    value: str = ""
+    values: dict[str, str] = field(default_factory=dict)
+    part: bool = False
+
+
+@dataclass(frozen=True)
+class Site:
+    texts: dict[str, str] = field(default_factory=dict)
+    links: dict[str, str] = field(default_factory=dict)
+    host: str = ""
+    nth: dict[str, tuple[str, int, str]] = field(default_factory=dict)
+    labelled: Labelled | None = None
+    lists: dict[str, str] = field(default_factory=dict)
+    nth_lists: dict[str, tuple[str, int]] = field(default_factory=dict)
+    sections: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    unstripped: tuple[str, ...] = ()
+    title_required: bool = False
+
+
+# --- Fixed values: selectors and labels per source -------------------------------------
+SITES = {
+    "topcv": Site(
+        texts={
+            "deadline": ".deadline > strong",
+            "job_title": ".job-detail__info--title",
+            "salary": ".section-salary .job-detail__info--section-content-value",
+            "place": ".section-location .job-detail__info--section-content-value a",
+            "experience": ".section-experience .job-detail__info--section-content-value",
+            "name_company": ".company-name-label > a",
+            "scale": ".company-scale .company-value",
+            "field": ".company-field .company-value",
+            "address": ".company-address .company-value",
+            "working_hour": ".job-description__item--content-list",
+        },
+        links={"link_company": ".job-detail__company--link > a"},
+        labelled=Labelled(
+            blocks=".box-general-content > .box-general-group",
+            label=".box-general-group-info-title",
+            value=".box-general-group-info-value",
+            columns={
+                "Cấp bậc": "level",
+                "Học vấn": "education",
+                "Hình thức làm việc": "working_type",
+                "Loại hình làm việc": "working_day",
+            },
+        ),
+        lists={"skills": ".box-category.collapsed .box-category-tag"},
+        unstripped=("deadline",),
+        title_required=True,
+    ),
+    "itviec": Site(
+        texts={
+            "job_title": "h1",
+            "place": ".normal-text.text-rich-grey",
+            "is_accepted_intern": ".text-reset.normal-text",
+            "working_type": ".normal-text.text-rich-grey.ms-1",
+        },
+        links={"company_link": ".ipt-3.ipt-xl-1.ipb-2.text-clamp-3 > a"},
+        host="https://itviec.com",
+        labelled=Labelled(
+            blocks=".imt-4 > .row.ipy-2.gx-0.border-bottom-dashed",
+            label=".col.text-dark-grey",
+            value=".col.text-end.text-it-black",
+            values={
+                "company_industry": ".d-inline-flex.text-wrap",
+                "company_place": "span.align-middle",
+            },
+            columns={
+                "Company type": "company_name",
+                "Company industry": "company_industry",
+                "Company size": "company_size",
+                "Country": "company_place",
+                "Working days": "working_days",
+            },
+        ),
+        lists={"skills": ".d-flex.flex-wrap.igap-2 > a"},
+        nth_lists={"demands": (".imy-5.paragraph", 1), "benefits": (".imy-5.paragraph", -1)},
+    ),
+    "vietnamworks": Site(
+        texts={
+            "job_title": ".sc-ab270149-0.hAejeW",
+            "salary": ".sc-ab270149-0.cVbwLK",
+            "is_urgent": ".sc-ab270149-0.guKwvE",
+            "deadline": ".sc-ab270149-0.ePOHWr",
+            "place": ".sc-4ab41082-1.gVpPKv .sc-ab270149-0.ePOHWr",
+            "name_company": ".sc-ab270149-0.egZKeY.sc-f0821106-0.gWSkfE",
+        },
+        links={"link_company": ".sc-ab270149-0.egZKeY.sc-f0821106-0.gWSkfE"},
+        nth={
+            "address": (".sc-37577279-4.kNdlhJ > .sc-37577279-5.kQCIWi", 0, ".sc-ab270149-0.ePOHWr"),
+            "scale": (".sc-37577279-4.kNdlhJ > .sc-37577279-5.kQCIWi", 1, ".sc-ab270149-0.ePOHWr"),
+        },
+        labelled=Labelled(
+            blocks=".sc-ab270149-0.cLLblL",
+            columns={
+                "cấp bậc": "level",
+                "kỹ năng": "skills",
+                "lĩnh vực": "field",
+                "kinh nghiệm": "experience",
+            },
+            part=True,
+        ),
+    ),
+    "careerviet": Site(
+        texts={
+            "job_title": "h1.title, h1",
+            "company_name": "a.employer.job-company-name, .job-company-name, .company-name, a.name",
+            "place": ".map p a, .map p",
+        },
+        labelled=Labelled(
+            blocks=".detail-box li",
+            label="strong",
+            value="p",
+            columns={
+                "lương": "salary",
+                "kinh nghiệm": "experience",
+                "cấp bậc": "level",
+                "ngành nghề": "industry",
+                "hết hạn": "deadline",
+            },
+            part=True,
+        ),
+        sections={
+            "requirements": ("yêu cầu",),
+            "benefits": ("phúc lợi",),
+            "skills": ("job tags", "kỹ năng"),
+        },
+    ),
+}
+SECTION_HEADINGS = "h2, h3, h4, .title-info"

@@ -1,0 +1,113 @@
+"""Posting pages of the four sources as landing records."""
+
+import pytest
+
+from postlake.functions import dom
+from postlake.operators.records import extract_records
+from postlake.sources.registry import load_schema
+
+TOPCV = """<html><body><h1 class="job-detail__info--title big"> Data <b>Engineer</b> </h1>
+<div class="job-detail__info--section section-salary"><div>
+  <div class="job-detail__info--section-content-value">10 - 20 triệu</div></div></div>
+<div class="section-location"><div class="job-detail__info--section-content-value"><a>Hà Nội</a></div></div>
+<div class="deadline">Hạn <strong>Còn 5 ngày </strong></div>
+<h2 class="company-name-label"><a href="/c">ACME &amp; Co</a></h2>
+<div class="job-detail__company--link"><a href="https://x/c">see</a></div>
+<div class="box-general-content">
+ <div class="box-general-group"><span class="box-general-group-info-title">Cấp bậc</span>
+  <p class="box-general-group-info-value">Junior</p></div>
+ <div class="box-general-group"><span class="box-general-group-info-title">Cấp bậc</span>
+  <p class="box-general-group-info-value">Senior</p></div>
+ <div class="box-general-group"><span class="box-general-group-info-title">Khác</span>
+  <p class="box-general-group-info-value">no</p></div>
+</div>
+<div class="box-category collapsed"><a class="box-category-tag"> SQL </a><a class="box-category-tag">Spark</a></div>
+</body></html>"""
+
+ITVIEC = """<h1>Dev</h1><div class="ipt-3 ipt-xl-1 ipb-2 text-clamp-3"><a href="/companies/a">A</a></div>
+<div class="imt-4"><div class="row ipy-2 gx-0 border-bottom-dashed"><div class="col text-dark-grey">Company size</div>
+<div class="col text-end text-it-black"> 51-150 </div></div>
+<div class="row ipy-2 gx-0 border-bottom-dashed"><div class="col text-dark-grey">Country</div>
+<div class="col text-end text-it-black"><span class="align-middle">VN</span></div></div></div>
+<div class="d-flex flex-wrap igap-2"><a>Python</a><a> </a></div>
+<div class="imy-5 paragraph"><li>ignored</li></div><div class="imy-5 paragraph"><li>need</li></div>
+<div class="imy-5 paragraph"><li>perk</li></div>"""
+
+VIETNAMWORKS = """<h1 class="sc-ab270149-0 hAejeW">Analyst</h1>
+<div><label>CẤP BẬC</label><p class="sc-ab270149-0 cLLblL">Nhân viên</p></div>
+<div><label>KỸ NĂNG</label><p class="sc-ab270149-0 cLLblL">SQL, Excel</p></div>
+<div class="sc-37577279-4 kNdlhJ"><div class="sc-37577279-5 kQCIWi"><p class="sc-ab270149-0 ePOHWr">Street 1</p></div>
+<div class="sc-37577279-5 kQCIWi"><p class="sc-ab270149-0 ePOHWr">25-99</p></div></div>
+<a class="sc-ab270149-0 egZKeY sc-f0821106-0 gWSkfE" href="https://x/y">Firm</a>"""
+
+CAREERVIET = """<h1>Tester</h1><a class="name">Firm</a><div class="map"><p><a>Huế</a></p></div>
+<div class="detail-box"><ul><li><strong>Lương</strong><p>10 Tr</p></li><li><strong>Cấp bậc </strong><p>NV</p></li></ul></div>
+<h2>Yêu cầu công việc</h2><div><p>one</p><p>two <b>three</b> four</p></div>
+<h3>Phúc lợi</h3><ul><li> perk </li><li></li></ul>
+<h4>Job tags / Kỹ năng</h4><div><a>SQL</a><a>QA</a></div>"""
+
+EXPECTED = {
+    "topcv": (
+        TOPCV,
+        {
+            "job_title": "Data Engineer", "salary": "10 - 20 triệu", "deadline": "Còn 5 ngày ",
+            "place": "Hà Nội", "experience": None, "name_company": "ACME & Co", "level": "Senior",
+            "education": None, "link_company": "https://x/c", "skills": ["SQL", "Spark"],
+        },
+    ),
+    "itviec": (
+        ITVIEC,
+        {
+            "job_title": "Dev", "company_link": "https://itviec.com/companies/a",
+            "company_size": "51-150", "company_place": "VN", "company_name": None,
+            "skills": ["Python"], "demands": ["need"], "benefits": ["perk"],
+        },
+    ),
+    "vietnamworks": (
+        VIETNAMWORKS,
+        {
+            "job_title": "Analyst", "level": "Nhân viên", "skills": "SQL, Excel", "field": None,
+            "address": "Street 1", "scale": "25-99", "name_company": "Firm",
+            "link_company": "https://x/y",
+        },
+    ),
+    "careerviet": (
+        CAREERVIET,
+        {
+            "job_title": "Tester", "company_name": "Firm", "place": "Huế", "salary": "10 Tr",
+            "level": "NV", "industry": None, "requirements": ["one", "two", "three", "four"],
+            "benefits": ["perk"], "skills": ["SQL", "QA"],
+        },
+    ),
+}
+
+
+@pytest.mark.parametrize("source", EXPECTED)
+def test_records(spark, source):
+    html, expected = EXPECTED[source]
+    pages = spark.createDataFrame([(html, "http://p/1"), (None, "http://p/2")], "html string, url string")
+    out = extract_records(pages, source)
+    assert set(out.columns) == set(load_schema(source).names) - {"_corrupt_record"}
+    row = out.filter("job_url = 'http://p/1'").first().asDict()
+    assert {k: row[k] for k in expected} == expected
+    assert len(row["inserted_at"]) == 19
+
+
+def test_title_is_required_where_the_source_says_so(spark):
+    pages = spark.createDataFrame([("<p>x</p>", "u")], "html string, url string")
+    assert extract_records(pages, "topcv").count() == 0
+    assert extract_records(pages, "itviec").count() == 1
+
+
+def test_selectors():
+    page = dom.parse("<div class='a b'><p>1<br>2</p><span><p class='c'>3</p></span></div><p>4")
+    assert [n.text() for n in page.select(".a > p")] == ["12"]
+    assert [n.text() for n in page.select("div.a.b p")] == ["12", "3"]
+    assert [n.text() for n in page.select("span > .c, .missing")] == ["3"]
+    assert page.first("p.c").parent.tag == "span"
+    assert page.first("h1") is None
+
+
+def test_deep_nesting_and_open_items():
+    assert dom.parse("<div>" * 5000 + "x").raw_text() == "x"
+    assert [n.text() for n in dom.parse("<ul><li>a<li>b</ul>").select("li")] == ["a", "b"]
