@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+# Common entities; browsers read them without the semicolon too.  "&amp;" comes last.
+_ENTITIES = {
+    "&lt;?": "<", "&gt;?": ">", "&quot;?": '"', "&#39;?": "'", "&nbsp;?": "\u00a0", "&amp;?": "&",
+}
 
 
 def hrefs(html: Column) -> Column:
@@ -17,7 +20,7 @@ def inner_text(markup: Column) -> Column:
     """Text without tags and without the white space around it; named entities resolved."""
     text = F.regexp_replace(markup, r"<[^>]*>", "")
     for entity, char in _ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
+        text = F.regexp_replace(text, entity, char)
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 

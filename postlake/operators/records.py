@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import postlake
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ from postlake.operators.filters import CORRUPT
 from postlake.sources.registry import load_schema
 from postlake.sources.sites import SECTION_HEADINGS, SITES, Labelled, Site
 
+# The helpers travel with the task: workers need not have this package installed.
+cloudpickle.register_pickle_by_value(postlake)
+
 
 def _text(node: dom.Node | None) -> str | None:
     return node.text() if node else None

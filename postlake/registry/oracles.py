@@ -399,6 +399,14 @@ _FROM_STAR = {
         count(*) FILTER (WHERE NOT complete) AS rejected_count FROM std)""",
 }
 
+def _heading() -> str:
+    """Text of the first h1: tags removed, entities resolved, "&amp;" last."""
+    text = "regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g')"
+    for entity, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{entity};?', '{char}', 'g')"
+    return f"trim({text})"
+
+
 _FROM_TABLES = {
     "src_json_permissive": """SELECT event_id,
         CASE WHEN json_valid(t) THEN CAST(json_extract(t, '$.k') AS INTEGER) END AS k,
@@ -418,13 +426,9 @@ _FROM_TABLES = {
         CASE WHEN href LIKE '/%' THEN 'https://jobs.example' || href ELSE href END AS link
         FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a[^>]* href="([^"]*)"', 1)) AS href
               FROM pages) WHERE contains(href, '/')""",
-    "web_title": r"""SELECT * FROM (SELECT page_id, CASE WHEN contains(html, '<h1>') THEN trim(replace(
-        replace(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),
-        '&lt;', '<'), '&amp;', '&')) END AS job_title FROM pages)
-        WHERE job_title IS NOT NULL AND job_title <> ''""",
-    "web_records": r"""SELECT url AS job_url, trim(replace(replace(regexp_replace(
-        regexp_extract(html, '<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g'), '&lt;', '<'), '&amp;', '&'))
-        AS job_title FROM pages""",
+    "web_title": f"""SELECT * FROM (SELECT page_id, CASE WHEN contains(html, '<h1>') THEN {_heading()}
+        END AS job_title FROM pages) WHERE job_title IS NOT NULL AND job_title <> ''""",
+    "web_records": f"SELECT url AS job_url, {_heading()} AS job_title FROM pages",
     "web_list_items": r"""SELECT page_id, array_to_string(list_filter(list_transform(
         regexp_extract_all(html, '<li>(.*?)</li>', 1),
         lambda x: trim(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&amp;', '&'))),
