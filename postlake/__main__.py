@@ -25,7 +25,7 @@ def _arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--row-level", action="store_true", help="the catalog has native MERGE")
     parser.add_argument("--buckets", type=int)
     parser.add_argument("--schema-dir")
-    parser.add_argument("--as-reference", action="store_true")
+    parser.add_argument("--compat", action="store_true")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-properties", help="JSON file with user, password, driver")
     return parser.parse_args(argv)
@@ -41,7 +41,7 @@ def main(argv: list[str] | None = None) -> None:
         row_level=args.row_level,
         buckets=args.buckets,
         schema_dir=args.schema_dir,
-        as_reference=args.as_reference,
+        compat=args.compat,
     )
     spark = get_session(f"postlake-{args.step}")
     if args.step == "init":

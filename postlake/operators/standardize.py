@@ -59,8 +59,8 @@ def band_step(df: DataFrame) -> Step:
 def deadline_step(
     df: DataFrame, deadline_col: str = "deadline", reference_date_col: str = "ingested_at"
 ) -> Step:
-    has_reference = reference_date_col in df.columns
-    seen_on = F.col(reference_date_col) if has_reference else F.current_date()
+    hcompat = reference_date_col in df.columns
+    seen_on = F.col(reference_date_col) if hcompat else F.current_date()
     text = {"_deadline": column_or_null(df, deadline_col)}
     return Step((text, {"deadline_date": labels.deadline_date("_deadline", seen_on)}))
 

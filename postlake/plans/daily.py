@@ -37,7 +37,7 @@ class Lake:
     ``catalog`` prefixes all tables; ``row_level`` says it has native MERGE.
     ``buckets`` is the file count of keyed tables on a plain catalog; at least
     ``spark.sql.shuffle.partitions``, or joins shuffle them anyway.
-    ``as_reference`` keeps three habits that lose rows: a day that ends at
+    ``compat`` keeps three habits that lose rows: a day that ends at
     23:59:59, one row per posting before incomplete ones are split off, and
     gold reading by first load instead of last change.
     """
@@ -48,7 +48,7 @@ class Lake:
     row_level: bool = False
     buckets: int | None = None
     schema_dir: str | None = None
-    as_reference: bool = False
+    compat: bool = False
 
     def table(self, namespace: str, name: str) -> str:
         return ".".join(part for part in (self.catalog, namespace, name) if part)
@@ -99,7 +99,10 @@ def run_bronze(
 
 
 def stage_batch(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write the batch to the staging folder and read it back."""
+    """Cut the lineage: write the batch to the staging folder and read it back.
+
+    Batches are left there; the folder is scratch space with an expiry rule.
+    """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/batches/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -109,11 +112,11 @@ def stage_batch(df: DataFrame, name: str) -> DataFrame:
 def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) -> dict[str, object]:
     """Standardize one day of a source's bronze rows and upsert them.  Returns AGG-5."""
     bronze = read_day(
-        spark, lake.table("bronze", source.table), day, to_the_second=lake.as_reference
+        spark, lake.table("bronze", source.table), day, to_the_second=lake.compat
     )
     conformed = silver_plan.conform_source(bronze, source.name, source.renames)
-    complete = silver_plan.complete_postings(conformed, dedup_first=lake.as_reference)
-    rejected = silver_plan.rejected_postings(conformed, dedup_first=lake.as_reference)
+    complete = silver_plan.complete_postings(conformed, dedup_first=lake.compat)
+    rejected = silver_plan.rejected_postings(conformed, dedup_first=lake.compat)
 
     batch = stage_batch(silver_plan.with_updated_at(complete), source.table)
     kept = batch.count()
@@ -160,9 +163,9 @@ def run_gold(
 ) -> bool:
     """Upsert the day's changed postings into the star schema; False if there are none."""
     tables = [lake.table("silver", f"{name}_jobs") for name in sources]
-    slice_by = "ingested_at" if lake.as_reference else "updated_at"
+    slice_by = "ingested_at" if lake.compat else "updated_at"
     united = read_united_day(
-        spark, tables, day, slice_by, to_the_second=lake.as_reference, skip_empty=False
+        spark, tables, day, slice_by, to_the_second=lake.compat, skip_empty=False
     )
     if united is None:
         return False

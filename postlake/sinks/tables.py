@@ -102,21 +102,26 @@ def publish_version(
     *,
     bucket_by: str | None = None,
     buckets: int | None = None,
+    hashed: bool = False,
     keep: int = 2,
 ) -> str:
     """Write ``df`` as the next version of ``table`` and switch the view to it.
 
     ``bucket_by`` stores the rows hashed by key into ``buckets`` files: the
     next upsert and joins on that key then read the table without an exchange.
-    The exchange here is by the same key and count, so each task writes one file.
+    Rows that leave an exchange on that key are ``hashed`` already; with as
+    many buckets as shuffle partitions every bucket sits in one task, and the
+    write needs no exchange of its own.
     """
     spark = df.sparkSession
     version = f"{table}__v{time.time_ns()}"
+    writer = df.write
     if bucket_by:
-        count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = df.repartition(count, bucket_by).write.bucketBy(count, bucket_by).sortBy(bucket_by)
-    else:
-        writer = df.write
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        count = buckets or partitions
+        if not hashed or count != partitions:
+            writer = df.repartition(count, bucket_by).write
+        writer = writer.bucketBy(count, bucket_by).sortBy(bucket_by)
     writer.format("parquet").saveAsTable(version)
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
     database = table.rpartition(".")[0]
@@ -174,11 +179,12 @@ def upsert_table(
             append_or_create(require_unique(source, key), table, partition_ts, row_level=True)
         return
     if not exists:
-        publish_version(require_unique(source, key), table, bucket_by=key, buckets=buckets)
+        first = require_unique(source, key)
+        publish_version(first, table, bucket_by=key, buckets=buckets, hashed=True)
         return
     target = spark.table(table)
     merged = upsert(target, source, key, small_source=small_source, **rule)
-    publish_version(merged, table, bucket_by=key, buckets=buckets)
+    publish_version(merged, table, bucket_by=key, buckets=buckets, hashed=True)
 
 
 def append_new(

@@ -113,3 +113,17 @@ def test_small_source_leaves_the_target_in_place(spark, tmp_path):
     source = target.limit(3)
     plan = plan_of(upsert(target, source, "k", small_source=True))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_upserted_tables_keep_one_file_per_bucket(spark, tmp_path):
+    from postlake.sinks.tables import upsert_table
+
+    rows = spark.range(500).selectExpr("cast(id as string) k", "'a' a", "cast(id as string) b")
+    upsert_table(rows, "keyed", "k", buckets=8)
+    for small in (False, True):
+        upsert_table(rows.filter("k < 20").withColumn("a", F.lit("z")), "keyed", "k", buckets=8, small_source=small)
+        table = spark.table("keyed")
+        assert table.count() == 500 and table.filter("a = 'z'").count() == 20
+        files = [f.rsplit("/", 1)[-1] for f in table.inputFiles()]
+        buckets = [f.split("_")[1].split(".")[0] for f in files]
+        assert len(set(buckets)) == 8 and (small or len(files) == 8)
