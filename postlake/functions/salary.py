@@ -37,24 +37,23 @@ def salary_fields(text: str) -> dict[str, Column]:
     }
 
 
-def _in_millions(amount: Column, currency: Column) -> Column:
-    return (
-        F.when(currency == terms.USD_CURRENCY, amount * terms.USD_TO_MILLION_VND)
-        .when(amount > terms.PLAIN_VND_ABOVE, amount / terms.VND_PER_MILLION)
-        .otherwise(amount)
-    )
+def _in_millions(amount: str, currency: str) -> str:
+    return f"""CASE
+        WHEN {currency} = {literal(terms.USD_CURRENCY)} THEN {amount} * {terms.USD_TO_MILLION_VND}D
+        WHEN {amount} > {terms.PLAIN_VND_ABOVE} THEN {amount} / {terms.VND_PER_MILLION}
+        ELSE {amount} END"""
 
 
-def salary_band(low: Column, high: Column, currency: Column) -> Column:
+def salary_band(low: str, high: str, currency: str) -> Column:
     """STD-2: band of the mean amount in millions of VND."""
     low, high = _in_millions(low, currency), _in_millions(high, currency)
-    mean = F.coalesce((low + high) / 2, low, high)
-    return (
-        F.when(mean.isNull(), terms.BAND_NEGOTIABLE)
-        .when(mean < 10, terms.BAND_BELOW_10)
-        .when(mean <= 20, terms.BAND_10_TO_20)
-        .when(mean <= 30, terms.BAND_20_TO_30)
-        .otherwise(terms.BAND_ABOVE_30)
+    mean = f"coalesce(({low} + {high}) / 2, {low}, {high})"
+    return F.expr(
+        f"""CASE WHEN {mean} IS NULL THEN {literal(terms.BAND_NEGOTIABLE)}
+        WHEN {mean} < 10 THEN {literal(terms.BAND_BELOW_10)}
+        WHEN {mean} <= 20 THEN {literal(terms.BAND_10_TO_20)}
+        WHEN {mean} <= 30 THEN {literal(terms.BAND_20_TO_30)}
+        ELSE {literal(terms.BAND_ABOVE_30)} END"""
     )
 
 

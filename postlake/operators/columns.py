@@ -34,7 +34,10 @@ def with_audit(df: DataFrame, source: str, ingested_at: Column | None = None) ->
 
 def conform(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """PRJ-4: exactly the columns named in ``types``, in order, typed NULL where absent."""
-    return df.select(*(column_or_null(df, n, kind).alias(n) for n, kind in types.items()))
+    present = set(df.columns)
+    return df.selectExpr(
+        *(f"`{n}`" if n in present else f"CAST(NULL AS {kind}) AS `{n}`" for n, kind in types.items())
+    )
 
 
 def project_existing(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,13 +41,14 @@ def _time(at: dt.datetime) -> Column:
     return F.lit(f"{at:%Y-%m-%d %H:%M:%S}")
 
 
-def present(name: str) -> Column:
-    """Neither NULL nor only blanks; never NULL itself, so ``~`` is its complement."""
-    return F.col(name).isNotNull() & (F.trim(F.col(name)) != "")
+def present(name: str) -> str:
+    """Neither NULL nor only blanks; never NULL itself, so NOT is its complement."""
+    return f"({name} IS NOT NULL AND trim({name}) <> '')"
 
 
 def all_present(df: DataFrame, names: Iterable[str] = REQUIRED) -> Column:
-    return reduce(and_, (present(n) for n in names if n in df.columns), F.lit(True))
+    checks = [present(name) for name in names if name in df.columns]
+    return F.expr(" AND ".join(checks) or "true")
 
 
 def split_required(
@@ -66,7 +67,7 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def named(df: DataFrame, key: str, *, no_blanks: bool = False) -> DataFrame:
     """FLT-4: rows usable as dimension rows."""
-    return df.filter(present(key) if no_blanks else F.col(key).isNotNull())
+    return df.filter(present(key) if no_blanks else f"{key} IS NOT NULL")
 
 
 def title_like(keyword: str, title: str = "job_title") -> Column:

@@ -52,7 +52,7 @@ def salary_step(df: DataFrame, salary_col: str = "salary") -> Step:
 
 
 def band_step(df: DataFrame) -> Step:
-    band = salary.salary_band(F.col("salary_min"), F.col("salary_max"), F.col("salary_currency"))
+    band = salary.salary_band("salary_min", "salary_max", "salary_currency")
     return Step(({}, {}, {"salary_band": band}))
 
 
