@@ -75,6 +75,11 @@ def title_like(keyword: str, title: str = "job_title") -> Column:
     return F.lower(F.col(title)).like(f"%{keyword.lower()}%")
 
 
+def title_contains(text: str, title: str = "job_title") -> Column:
+    """FLT-5 without wildcards."""
+    return F.lower(F.col(title)).contains(text.lower())
+
+
 def salary_inverted() -> Column:
     """FLT-6."""
     return F.col("salary_min") > F.col("salary_max")

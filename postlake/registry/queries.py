@@ -62,7 +62,8 @@ def snk_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("posting_key").cast("string"), "job_title", "salary", "place",
         F.split("skills", ",").alias("skills"), "job_url",
     )
-    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    writer = rows.write.mode("overwrite").option("ignoreNullFields", "false")
+    stage.once(path, lambda: writer.json(path))
     schema = rows.schema.add(filters.CORRUPT, "string")
     good, _ = filters.split_corrupt(read_json_lines(spark, path, schema))
     return _joined(good, "skills")

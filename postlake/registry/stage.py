@@ -37,6 +37,16 @@ def staged(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataF
     return _tables[path]
 
 
+_done: set[str] = set()
+
+
+def once(path: str, write: Callable[[], None]) -> None:
+    """Run a write once per session: earlier readers of the path keep their files."""
+    if path not in _done:
+        write()
+        _done.add(path)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make() -> DataFrame:
         return complete_postings(raw_postings(spark, sf_dir), tie_breaks=TIE_BREAKS)

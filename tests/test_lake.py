@@ -8,9 +8,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from postlake.plans import daily
-from postlake.plans.serving import Star, stats, top_skills
-from postlake.registry.oracles import _GUARD
+from postlake.plans import quality
+from postlake.plans.serving import Star, search, stats, top_skills
 from postlake.plans.silver import GUARD
+from postlake.registry.oracles import _GUARD
 from postlake.sinks import serving, tables
 from postlake.sources import landing, registry
 from postlake.streaming.landing import ingest_available
@@ -30,6 +31,10 @@ def drop_file(root, source, day, lines):
     (path / f"{source}_jobs.json").write_text(text + "\n", encoding="utf-8")
 
 
+def star_now(spark):
+    return Star.from_catalog(spark)
+
+
 def test_schemas():
     assert list(registry.SOURCES) == ["itviec", "vietnamworks", "careerviet", "topcv"]
     with pytest.raises(ValueError):
@@ -141,6 +146,27 @@ def test_two_days(spark, lake, tmp_path_factory):
     assert places[facts["http://x/1"].location_id] == "Đà Nẵng"
     assert spark.table("gold.bridge_job_skills").count() == 6
 
+    # The tables answer plain SQL with bind parameters as well.
+    hits = spark.sql(
+        """SELECT f.job_title, c.company_name, l.location_name, lv.level_name
+        FROM gold.fact_job_postings f
+        LEFT JOIN gold.dim_company c ON f.company_id = c.company_id
+        LEFT JOIN gold.dim_location l ON f.location_id = l.location_id
+        LEFT JOIN gold.dim_level lv ON f.level_id = lv.level_id
+        WHERE lower(f.job_title) LIKE :keyword ORDER BY f.ingested_at DESC, f.job_id LIMIT 2""",
+        args={"keyword": "%java%"},
+    ).collect()
+    assert len(hits) == 2 and hits[0].level_name == "Senior"
+    assert {tuple(r) for r in search(star_now(spark), "JAVA").select("job_url").collect()} == {
+        ("http://x/1",), ("http://x/2",), ("http://x/4",)
+    }
+    assert quality.duplicates(spark.table("gold.fact_job_postings"), "job_id").isEmpty()
+    for check in (
+        quality.orphaned_companies, quality.orphaned_locations, quality.orphaned_categories,
+        quality.orphaned_levels, quality.invalid_bridge_jobs, quality.invalid_bridge_skills,
+    ):
+        assert check(star_now(spark)).first()[0] == 0
+
     # A rerun changes nothing.
     before = sorted(map(str, spark.table("gold.fact_job_postings").collect()))
     daily.run_silver(spark, lake, sources[0], NEXT)

@@ -50,6 +50,8 @@ def test_like_wildcards(spark):
     df = spark.createDataFrame([("Data 100%",), ("Dxta",), (None,)], "job_title string")
     assert df.filter(filters.title_like("D_TA")).count() == 2
     assert df.filter(filters.title_like("data%100")).count() == 1
+    assert df.filter(filters.title_contains("100%")).count() == 1
+    assert df.filter(filters.title_contains("D_TA")).count() == 0
 
 
 def test_retain(spark):

@@ -48,7 +48,7 @@ RULES = {
 @pytest.mark.parametrize("small", [False, True], ids=["outer", "broadcast"])
 @pytest.mark.parametrize("rule", RULES.values(), ids=RULES.keys())
 @settings(
-    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(target=tables, source=tables)
 def test_equals_dictionary_merge(spark, rule, small, target, source):
