@@ -212,20 +212,25 @@ def _built(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _update_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A later batch: every posting again, the incomplete ones as new keys.
+    """A later batch, stored as the daily run stores it: every posting again,
+    the incomplete ones as new keys.
 
     Of ``site_a`` the category changed, of ``site_c`` the industry is missing.
     """
-    latest = silver_plan.one_per_posting(raw_postings(spark, sf_dir), stage.TIE_BREAKS)
-    category = F.when(F.col("source") == "site_a", "Moved").otherwise(F.col("job_category"))
-    industry = F.when(F.col("source") != "site_c", F.col("company_industry"))
-    return silver_plan.to_silver(latest).withColumns(
-        {
-            "job_category": category,
-            "company_industry": industry,
-            "ingested_at": F.expr("ingested_at + INTERVAL 1 DAY"),
-        }
-    )
+
+    def make() -> DataFrame:
+        latest = silver_plan.one_per_posting(raw_postings(spark, sf_dir), stage.TIE_BREAKS)
+        category = F.when(F.col("source") == "site_a", "Moved").otherwise(F.col("job_category"))
+        industry = F.when(F.col("source") != "site_c", F.col("company_industry"))
+        return silver_plan.to_silver(latest).withColumns(
+            {
+                "job_category": category,
+                "company_industry": industry,
+                "ingested_at": F.expr("ingested_at + INTERVAL 1 DAY"),
+            }
+        )
+
+    return stage.staged(spark, sf_dir, "update_batch", make)
 
 
 def ups_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
