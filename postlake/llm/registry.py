@@ -5,12 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from postlake.llm import token_files
+from postlake.llm import (
+    chunked_bpe,
+    curriculum,
+    language,
+    line_runs,
+    lz_dedup,
+    rule_ledger,
+    secret_scan,
+    simhash,
+    syncmers,
+    token_files,
+)
 from postlake.llm.common import documents
 
 TOKENIZERS = "/opt/tokenizers"
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +32,68 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(token_files.read_token_files(spark, path))
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), size=3)
+    return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_runs.without_copied_runs(documents(spark, sf_dir)).select("doc_id", "line_dedup.*")
+    return rows.withColumn("kept_sha256", F.sha2(F.coalesce("kept", F.lit("")), 256)).drop("kept")
+
+
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compared(documents(spark, sf_dir))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(secret_scan.scan(documents(spark, sf_dir)))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    profiles = language.learn(docs)
+    marked = docs.select("doc_id", language.held_out().alias("held_out"), "text")
+    return language.predict(marked, profiles, ("doc_id", "held_out"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "size", "source_size", "target", "taken", "first_time", "second_time")
+    return curriculum.plan(documents(spark, sf_dir)).select(*columns)
+
+
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = chunked_bpe.encoded(documents(spark, sf_dir), WORD_BPE)
+    return chunked_bpe.digests(chunked_bpe.decoded(tokens, WORD_BPE))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lz_dedup.without_copies(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rule_ledger.judged(rule_ledger.ledger(rule_ledger.measure(documents(spark, sf_dir))))
+    base = F.col("failed").bitwiseAND(F.lit(rule_ledger.mask(rule_ledger.BASE))) != 0
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base.alias("base_failed"), "kept", "failed",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_token_files": op1_token_files,
+    query.__name__: query
+    for query in (
+        op1_token_files,
+        op2_simhash_near_dedup,
+        op3_line_dedup,
+        op4_document_fingerprints,
+        op5_secret_scan,
+        op6_language_id,
+        op7_mixing,
+        op8_bpe_round_trip,
+        op9_substring_dedup,
+        op10_quality_rules,
+    )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_line_dedup": line_runs.oracle()}
