@@ -33,10 +33,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlake.llm.common import batches, in_python, staged, text_of
+from postlake.llm.common import batches, in_python, staged, text_key, text_of
 from postlake.llm.components import components
 
 RADIUS = 2
@@ -233,19 +233,33 @@ def links(nodes: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``prints`` (with fp) and component_id, the smallest doc_id of the class."""
+    """``prints`` (with fp), component (a fingerprint of the class) and component_id, the
+    smallest doc_id of the class."""
     nodes = staged(prints.groupBy("fp").agg(F.min(doc_id).alias("least")), "fingerprints")
     members = components(links(nodes)).withColumnRenamed("node", "fp")
     named = nodes.join(members, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(least, "component").select("fp", "component_id")
+    by_fp = named.join(least, "component").select("fp", "component", "component_id")
     return prints.join(by_fp, "fp")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fp and component_id of every row; shingles of ``size`` words."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return classes(staged(fingerprints(rows, size), "simhash"))
+    return classes(staged(fingerprints(rows, size), "simhash")).select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document of the smallest doc_id of each class, with all its columns (of rows of
+    one doc_id the one of the smallest text key; of equal rows one)."""
+    named = {"__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), "__none": F.col(doc_id).isNull(), "__key": text_key(text)}
+    keyed = docs.withColumns(named)
+    keys = ("__none", "__id", "__key")  # in this order null doc_ids come last
+    prints = staged(fingerprints(keyed, size, keys, text), "simhash")
+    chosen = classes(prints, "__id").groupBy("component").agg(F.min(F.struct(*keys)).alias("least")).select("least.*")
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("__id"))
+    kept = keyed.join(chosen, list(keys), "left_semi").withColumn("__number", number).where("__number = 1")
+    return kept.select(*docs.columns)
 
 
 def as_hex(column: str = "fp") -> Column:
