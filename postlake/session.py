@@ -24,7 +24,7 @@ SQL_SETTINGS = {
     # its other code generator, which splits expressions into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Pages are large: bound a batch handed to Python by bytes, not by rows alone.
-    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # Landing directories are month=06: keep the leading zero.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
