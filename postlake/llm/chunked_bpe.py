@@ -131,21 +131,29 @@ def together(rows: DataFrame) -> DataFrame:
     return routed.repartition(parts, "route", spread).select("doc_id", "text")
 
 
+def _dealt(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return together(rows).select("doc_id", text_of().alias("text"))
+
+
+def _runs(tool: ChunkEncoder, texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    ids, counts = tool.encode(texts)
+    raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts)
+    return counts, [raw[4 * a : 4 * b] for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
+
+
 def encoded(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit) of every whole text."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = chunker(tokenizer)
         for batch in batches(found):
-            ids, counts = tool.encode(batch["text"].to_pylist())
-            raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts)
-            runs = [raw[4 * a : 4 * b] for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
+            counts, runs = _runs(tool, batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(runs, pa.binary())], ["doc_id", "n_tokens", "ids"]
             )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return in_python(together(rows).select("doc_id", text_of().alias("text")), run, _TOKENS)
+    return in_python(_dealt(docs, doc_id, text), run, _TOKENS)
 
 
 def _vocabulary(tokenizer: str) -> list[str]:
@@ -153,6 +161,10 @@ def _vocabulary(tokenizer: str) -> list[str]:
     return [tool.id_to_token(i) or "" for i in range(tool.get_vocab_size(with_added_tokens=True))]
 
 
+def _text(entries: list[str], raw: bytes) -> str:
+    return " ".join(map(entries.__getitem__, np.frombuffer(raw, "<u4").tolist()))
+
+
 def decoded(tokens: DataFrame, tokenizer: str) -> DataFrame:
     """``tokens`` with the text of their ids, special tokens included.
 
@@ -160,27 +172,26 @@ def decoded(tokens: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries = _vocabulary(tokenizer)
-        for batch in batches(found, "ids", 8 << 20):
-            texts = [" ".join(map(entries.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in batch["ids"].to_pylist()]
+        for batch in batches(found, "ids"):
+            texts = [_text(entries, x) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
 
     return in_python(tokens.select("doc_id", "n_tokens", "ids"), run, f"{_TOKENS}, text string")
 
 
-def digests(texts: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, and sha256 of the ids in decimal and of the decoded text."""
+def round_trip(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Encoded, decoded from the ids again and digested in one pass: doc_id, n_tokens,
+    ids_sha256 (decimal ids joined by one space) and decoded_sha256."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: list[str] = []
-        for batch in found:
-            sums = []
-            for raw in batch["ids"].to_pylist():
-                ids = np.frombuffer(raw, "<u4")
-                for more in range(len(names), int(ids.max(initial=0)) + 1):
-                    names.append(str(more))
-                sums.append(hashlib.sha256(" ".join(map(names.__getitem__, ids.tolist())).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["n_tokens"], pa.array(sums, pa.string()), batch["decoded_sha256"]],
-                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    rows = texts.select("doc_id", "n_tokens", "ids", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
-    return in_python(rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        tool, entries = chunker(tokenizer), _vocabulary(tokenizer)
+        decimal = [str(i) for i in range(len(entries))]
+        for batch in batches(found):
+            counts, runs = _runs(tool, batch["text"].to_pylist())
+            digest = lambda words: pa.array([hashlib.sha256(_text(words, x).encode()).hexdigest() for x in runs], pa.string())  # noqa: E731, B023
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(counts, pa.int64()), digest(decimal), digest(entries)],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    return in_python(_dealt(docs, doc_id, text), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

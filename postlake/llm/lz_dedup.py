@@ -34,7 +34,7 @@ from postlake.llm.common import batches, in_python, partitions_of, span_hashes,
 
 WINDOW = 50
 ANCHOR = 10
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 400_000
 """Words a task resolves at once before the exchange."""
 BLOCKS_PER_PARTITION = 4
 _FACTOR = "doc_id long, key int, start int, windows int, ref_doc long, ref_start int"

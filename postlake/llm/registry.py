@@ -29,7 +29,7 @@ WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_path(spark, "token-files")
     token_files.write_token_files(documents(spark, sf_dir), path, BYTE_BPE)
-    return token_files.token_digests(token_files.read_token_files(spark, path))
+    return token_files.token_digests(spark, path)
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,8 +63,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = chunked_bpe.encoded(documents(spark, sf_dir), WORD_BPE)
-    return chunked_bpe.digests(chunked_bpe.decoded(tokens, WORD_BPE))
+    return chunked_bpe.round_trip(documents(spark, sf_dir), WORD_BPE)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A *safe cut* is a place where any text may be split without changing its tokens:
 before a lone space, and around a lone line feed, between characters that are not
-white space.  Both public BPE files restart there: no pre-token reaches over it, no
-normalizer joins across it, and neither special token holds white space.
+white space, and between an ASCII letter and one of ``.,;:!?``.  Both public BPE files
+restart there: no pre-token reaches over it, no normalizer joins across it, and no special
+token holds such a place.
 Where the characters next to a space might be white space themselves no cut is made;
 the piece is longer then, never wrong.
 
@@ -13,7 +14,9 @@ at most a few million pieces meet: two of them collide with probability below 1e
 
 from __future__ import annotations
 
+import json
 import os
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -22,6 +25,11 @@ from postlake.llm.common import span_hashes
 
 #: Lead bytes of the blocks that hold all white space beyond ASCII.
 _LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
+_LETTER, _STOP = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_LETTER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
+_STOP[list(b".,;:!?")] = True
+_AT_ONCE = 8192
+"""Pieces the library encodes in one call: what it returns is far larger than the ids."""
 
 
 def safe_cuts(buf: np.ndarray) -> np.ndarray:
@@ -45,6 +53,7 @@ def safe_cuts(buf: np.ndarray) -> np.ndarray:
     cut = np.zeros(n, dtype=bool)
     cut[gaps] = True
     cut[gaps[buf[gaps] == 0x0A] + 1] = True
+    cut[1:] |= _LETTER[buf[:-1]] & _STOP[buf[1:]]
     return np.flatnonzero(cut)
 
 
@@ -122,10 +131,33 @@ class SpanCache:
         return gather(self.ids, self.starts[rows], lengths), lengths
 
 
+def _bytes_as_letters() -> dict[int, str]:
+    """Byte-level BPE writes each byte as a visible character: those that have one as
+    themselves, the others from U+0100 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = (b for b in range(256) if b not in visible)
+    return {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+_HIDDEN = _bytes_as_letters()
+
+
+def _byte_level(piece: str) -> str:
+    if piece.isascii():
+        return piece.replace(" ", _HIDDEN[0x20])
+    return piece.encode().decode("latin-1").translate(_HIDDEN)
+
+
+def _is_word(piece: str) -> bool:
+    """Latin letters only, after one space or none."""
+    core = piece[piece[:1] == " " :]
+    return core.isalpha() and (core.isascii() or max(core) < "\u0250")
+
+
 class Encoder:
     """A tokenizer of the ``tokenizers`` library with a cache of pieces between safe cuts."""
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -133,9 +165,34 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.cache = SpanCache(limit)
-
-    def library(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        self.words = self._words()
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+
+    def library(self, pieces: list[str]) -> Iterator[list[int]]:
+        for start in range(0, len(pieces), _AT_ONCE):
+            for e in self.tokenizer.encode_batch_fast(pieces[start : start + _AT_ONCE], add_special_tokens=False):
+                yield e.ids
+
+    def _words(self) -> Callable[[str], str] | None:
+        """How a piece of Latin letters (after a space or not) reaches the BPE model, if the
+        file's normalizer and pre-tokenizer leave it whole; the model is asked directly then."""
+        state = json.loads(self.tokenizer.to_str())
+        before, split = state["normalizer"], state["pre_tokenizer"] or {}
+        steps = [s.get("pattern", {}).get("Regex", "") for s in split.get("pretokenizers", [])]
+        if before is None and split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]:
+            return _byte_level
+        kinds = [n["type"] for n in (before or {}).get("normalizers", [])]
+        if kinds == ["NFC", "Replace", "Lowercase"] and len(steps) == 2 and "|[\\p{L}]+|" in steps[0]:
+            return lambda piece: _byte_level(piece.lstrip(" ").lower())
+        return None
+
+    def new(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces met for the first time, in their order."""
+        if not self.words:
+            return list(self.library(pieces))
+        rest = self.library([p for p in pieces if not _is_word(p)])
+        tokenize, words = self.tokenizer.model.tokenize, self.words
+        return [[t.id for t in tokenize(words(p))] if _is_word(p) else next(rest) for p in pieces]
 
     def pieces(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces buf[start:end] end to end, and how many each piece has."""
@@ -149,7 +206,7 @@ class Encoder:
             kinds, first = np.unique(hashes[new], return_index=True)
             at = new[first]
             raw = buf.tobytes()
-            found = self.library([raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+            found = self.new([raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum()))
             self.cache.add(kinds, flat, lengths)

@@ -18,14 +18,14 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm.common import batches, in_python, partitions_of, range_splits, staged, text_of
+from postlake.llm.common import batches, dealt_by_range, in_python, partitions_of, range_splits, staged, text_of
 from postlake.llm.huffman import Codes, code_lengths
 from postlake.llm.spans import encoder
 from postlake.session import staging_root
@@ -40,18 +40,28 @@ _BLOCK = (
 )
 
 
+def id_kind(size: int) -> str:
+    """Two bytes for each id of a small vocabulary, else four."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 32-bit), the end id last."""
+    """doc_id, n_tokens and ids (little-endian, of ``id_bytes`` each), the end id last."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer)
+        kind = id_kind(tool.size)
         for batch in batches(found):
             ids, counts = tool.encode(batch["text"].to_pylist())
-            ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
             counts = counts + 1
             ends = np.cumsum(counts)
-            raw = ids.tobytes()
-            runs = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+            whole = np.full(len(ids) + len(counts), end_id, dtype=kind)
+            own = np.ones(len(whole), dtype=bool)
+            own[ends - 1] = False
+            whole[own] = ids
+            raw = whole.tobytes()
+            edges = (ends * whole.itemsize).tolist()
+            runs = [raw[a:b] for a, b in zip([0, *edges], edges, strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(counts), pa.array(runs, pa.binary())], ["doc_id", "n_tokens", "ids"]
             )
@@ -60,13 +70,13 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0, doc_id: str = "do
     return in_python(rows, run, _DOC)
 
 
-def id_counts(tokens: DataFrame) -> np.ndarray:
+def id_counts(tokens: DataFrame, kind: str) -> np.ndarray:
     """How often each id occurs in all rows; counted in every task before the exchange."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
-        for batch in batches(found, "ids", 16 << 20):
-            ids = np.frombuffer(b"".join(batch["ids"].to_pylist()), dtype="<u4")
+        for batch in batches(found, "ids", 2 << 20):
+            ids = np.frombuffer(b"".join(batch["ids"].to_pylist()), dtype=kind)
             more = np.bincount(ids, minlength=len(total))
             more[: len(total)] += total
             total = more
@@ -80,11 +90,11 @@ def id_counts(tokens: DataFrame) -> np.ndarray:
     return counts
 
 
-def _runs(tokens: DataFrame, lengths: np.ndarray, splits: list[int]) -> DataFrame:
+def _runs(tokens: DataFrame, kind: str, lengths: np.ndarray, splits: list[int]) -> DataFrame:
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, cuts = Codes(lengths), np.array(splits, dtype=np.int64)
-        for batch in batches(found, "ids", 8 << 20):
-            ids = np.frombuffer(b"".join(batch["ids"].to_pylist()), dtype="<u4")
+        for batch in batches(found, "ids", 2 << 20):
+            ids = np.frombuffer(b"".join(batch["ids"].to_pylist()), dtype=kind)
             counts = batch["n_tokens"].to_numpy()
             payload, begin, marks = codes.encode(ids, counts, STEP)
             marks = marks.astype("<u4").tobytes()
@@ -149,12 +159,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     """Tokenize, code and write all documents below ``path`` in ascending doc_id order."""
     spark = docs.sparkSession
     tokens = staged(tokenize(docs, tokenizer, end_id), "token-ids")
-    lengths = code_lengths(id_counts(tokens))
+    kind = id_kind(encoder(tokenizer).size)
+    lengths = code_lengths(id_counts(tokens, kind))
     coded = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(coded, "id long, bits int").coalesce(1).write.parquet(f"{path}/codes")
     parts = partitions_of(spark)
     splits = range_splits(tokens, "doc_id", parts)
-    runs = _runs(tokens, lengths, splits)
+    runs = _runs(tokens, kind, lengths, splits)
     cuts = np.array(splits, dtype=np.int64)
 
     def totals(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,33 +181,40 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     starts, before = {}, 0
     for place in sorted(size):
         starts[place], before = before, before + size[place]
-    ordered = runs.repartition(parts, "range").sortWithinPartitions("range", "doc_id", "n_tokens", "payload")
+    ordered = dealt_by_range(runs, parts).sortWithinPartitions("range", "doc_id", "n_tokens", "payload")
     blocks = _blocks(ordered, starts)
     blocks.write.option("compression", "none").partitionBy("range").parquet(f"{path}/blocks")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens, ids as little-endian 32 bits."""
+    return _read(spark, path, lambda runs: pa.array(runs, pa.binary()), "ids binary")
+
+
+def token_digests(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens and the crc32 of the ids that the files hold."""
+    return _read(spark, path, lambda runs: pa.array(map(zlib.crc32, runs), pa.int64()), "ids_crc32 long")
+
+
+def _read(spark: SparkSession, path: str, made: Callable[[list[bytes]], pa.Array], column: str) -> DataFrame:
     lengths = _stored_lengths(spark, path)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes(lengths)
         for batch in found:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 counts = np.array(row["doc_tokens"], dtype=np.int64)
                 starts, lanes = _lanes(counts)
                 ids = codes.decode(row["payload"], np.frombuffer(row["marks"], dtype="<u8"), lanes)
                 raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts)
                 runs = [raw[4 * a : 4 * b] for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + starts),
-                        pa.array(counts), pa.array(runs, pa.binary()),
-                    ],
-                    ["doc_id", "start", "n_tokens", "ids"],
-                )
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + starts), pa.array(counts), made(runs)],
+                    ["doc_id", "start", "n_tokens", column.split()[0]],
+                )
 
-    return in_python(_stored_blocks(spark, path), run, "doc_id long, start long, n_tokens long, ids binary")
+    return in_python(_stored_blocks(spark, path), run, f"doc_id long, start long, n_tokens long, {column}")
 
 
 def _stored_lengths(spark: SparkSession, path: str) -> np.ndarray:
@@ -219,19 +237,5 @@ def _lanes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(counts) - counts, lanes
 
 
-def token_digests(files: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and the crc32 of the ids."""
-
-    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            sums = [zlib.crc32(x) for x in batch["ids"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["start"], batch["n_tokens"], pa.array(sums, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    return in_python(files, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
