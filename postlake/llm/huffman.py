@@ -68,8 +68,9 @@ class Codes:
             value, word = np.bitwise_or.reduceat(value, begin), word[begin]
             out[word] |= (value >> np.uint64(32)).astype(np.uint32)
             out[word + 1] |= value.astype(np.uint32)
-        within = np.arange(len(ids)) - np.repeat(first[:-1], counts)
-        marks = at[within % step == 0] - np.repeat(8 * run_bytes[:-1], -(-counts // step))
+        lanes = -(-counts // step)
+        place = np.arange(int(lanes.sum())) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        marks = at[np.repeat(first[:-1], lanes) + step * place] - np.repeat(8 * run_bytes[:-1], lanes)
         return out.astype(">u4").tobytes()[: int(run_bytes[-1])], run_bytes, marks
 
     def decode(self, payload: bytes, marks: np.ndarray, counts: np.ndarray) -> np.ndarray:

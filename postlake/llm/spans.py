@@ -2,9 +2,9 @@
 
 A *safe cut* is a place where any text may be split without changing its tokens:
 before a lone space, and around a lone line feed, between characters that are not
-white space, and between an ASCII letter and one of ``.,;:!?``.  Both public BPE files
-restart there: no pre-token reaches over it, no normalizer joins across it, and no special
-token holds such a place.
+white space, and between a letter (of ASCII or Latin-1) and ASCII punctuation other than
+``<|>``.  Both public BPE files restart there: no pre-token reaches over it, no normalizer
+joins across it, and no special token holds such a place.
 Where the characters next to a space might be white space themselves no cut is made;
 the piece is longer then, never wrong.
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -27,7 +27,10 @@ from postlake.llm.common import span_hashes
 _LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 _LETTER, _STOP = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _LETTER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
-_STOP[list(b".,;:!?")] = True
+_STOP[list(b"!\"#$%&'()*+,-./:;=?@[\\]^_`{}~")] = True
+_LATIN = np.zeros(256, dtype=bool)  # second bytes of Latin-1 letters, after 0xC3
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
 _AT_ONCE = 8192
 """Pieces the library encodes in one call: what it returns is far larger than the ids."""
 
@@ -53,7 +56,10 @@ def safe_cuts(buf: np.ndarray) -> np.ndarray:
     cut = np.zeros(n, dtype=bool)
     cut[gaps] = True
     cut[gaps[buf[gaps] == 0x0A] + 1] = True
-    cut[1:] |= _LETTER[buf[:-1]] & _STOP[buf[1:]]
+    stops = np.flatnonzero(_STOP[buf])
+    stops = stops[stops > 0]
+    before = buf[stops - 1]
+    cut[stops[_LETTER[before] | (_LATIN[before] & (buf[stops - 2] == 0xC3) & (stops > 1))]] = True
     return np.flatnonzero(cut)
 
 
@@ -131,27 +137,16 @@ class SpanCache:
         return gather(self.ids, self.starts[rows], lengths), lengths
 
 
-def _bytes_as_letters() -> dict[int, str]:
+def _visible() -> np.ndarray:
     """Byte-level BPE writes each byte as a visible character: those that have one as
     themselves, the others from U+0100 on."""
-    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    hidden = (b for b in range(256) if b not in visible)
-    return {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+    out = np.arange(256, dtype="<u2")
+    hidden = [b for b in range(256) if not (0x21 <= b < 0x7F or 0xA1 <= b < 0xAD or 0xAE <= b)]
+    out[hidden] = 0x100 + np.arange(len(hidden))
+    return out
 
 
-_HIDDEN = _bytes_as_letters()
-
-
-def _byte_level(piece: str) -> str:
-    if piece.isascii():
-        return piece.replace(" ", _HIDDEN[0x20])
-    return piece.encode().decode("latin-1").translate(_HIDDEN)
-
-
-def _is_word(piece: str) -> bool:
-    """Latin letters only, after one space or none."""
-    core = piece[piece[:1] == " " :]
-    return core.isalpha() and (core.isascii() or max(core) < "\u0250")
+_VISIBLE = _visible()
 
 
 class Encoder:
@@ -165,7 +160,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.cache = SpanCache(limit)
-        self.words = self._words()
+        self.reads = self._reads_words()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def library(self, pieces: list[str]) -> Iterator[list[int]]:
@@ -173,26 +168,45 @@ class Encoder:
             for e in self.tokenizer.encode_batch_fast(pieces[start : start + _AT_ONCE], add_special_tokens=False):
                 yield e.ids
 
-    def _words(self) -> Callable[[str], str] | None:
-        """How a piece of Latin letters (after a space or not) reaches the BPE model, if the
-        file's normalizer and pre-tokenizer leave it whole; the model is asked directly then."""
+    def _reads_words(self) -> str | None:
+        """Whether the file's normalizer and pre-tokenizer leave a word of Latin letters whole
+        ("spaced": with the space before it; "lowered": in lower case, without).  The BPE
+        model is asked for such words directly."""
         state = json.loads(self.tokenizer.to_str())
         before, split = state["normalizer"], state["pre_tokenizer"] or {}
-        steps = [s.get("pattern", {}).get("Regex", "") for s in split.get("pretokenizers", [])]
         if before is None and split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]:
-            return _byte_level
+            return "spaced"
         kinds = [n["type"] for n in (before or {}).get("normalizers", [])]
+        steps = [s.get("pattern", {}).get("Regex", "") for s in split.get("pretokenizers", [])]
         if kinds == ["NFC", "Replace", "Lowercase"] and len(steps) == 2 and "|[\\p{L}]+|" in steps[0]:
-            return lambda piece: _byte_level(piece.lstrip(" ").lower())
+            return "lowered"
         return None
 
-    def new(self, pieces: list[str]) -> list[list[int]]:
+    def new(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
         """Ids of pieces met for the first time, in their order."""
-        if not self.words:
-            return list(self.library(pieces))
-        rest = self.library([p for p in pieces if not _is_word(p)])
-        tokenize, words = self.tokenizer.model.tokenize, self.words
-        return [[t.id for t in tokenize(words(p))] if _is_word(p) else next(rest) for p in pieces]
+        lengths = ends - starts
+        flat = gather(buf, starts, lengths)
+        to = np.cumsum(lengths)
+        at = to - lengths
+        plain = np.zeros(len(at), dtype=bool)
+        if self.reads:
+            second = _LATIN[flat]
+            second[1:] &= flat[:-1] == 0xC3
+            letter = _LETTER[flat] | second
+            letter[:-1] |= second[1:]
+            before = np.concatenate([[0], np.cumsum(letter)])
+            spaced = (flat[at] == 0x20).astype(np.int64)
+            plain = (before[to] - before[at + spaced] == lengths - spaced) & (lengths > spaced)
+        words = flat
+        if self.reads == "lowered":
+            upper = ((flat >= 0x41) & (flat <= 0x5A)) | (second & (flat < 0x9F))
+            words, at = flat + np.uint8(0x20) * upper, np.where(plain, at + spaced, at)
+        text = _VISIBLE[words].tobytes().decode("utf-16-le")
+        raw = flat.tobytes()
+        rows = list(zip(at.tolist(), to.tolist(), plain.tolist(), strict=True))
+        rest = self.library([raw[a:b].decode() for a, b, is_word in rows if not is_word])
+        tokenize = self.tokenizer.model.tokenize
+        return [[t.id for t in tokenize(text[a:b])] if is_word else next(rest) for a, b, is_word in rows]
 
     def pieces(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces buf[start:end] end to end, and how many each piece has."""
@@ -205,8 +219,7 @@ class Encoder:
                 new = np.arange(len(hashes))
             kinds, first = np.unique(hashes[new], return_index=True)
             at = new[first]
-            raw = buf.tobytes()
-            found = self.new([raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+            found = self.new(buf, starts[at], ends[at])
             lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum()))
             self.cache.add(kinds, flat, lengths)
