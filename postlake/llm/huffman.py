@@ -48,7 +48,7 @@ class Codes:
         self.codes[used] = first >> (self.bits - self.lengths[used])
         self.ids_at = np.zeros(1 << self.bits, dtype=np.uint32)
         self.ids_at[: int(widths.sum())] = np.repeat(used, widths)
-        self.bits_at = self.lengths[self.ids_at]
+        self.bits_at = self.lengths[self.ids_at] if len(used) else self.ids_at.astype(np.int64)
 
     def encode(self, ids: np.ndarray, counts: np.ndarray, step: int) -> tuple[bytes, np.ndarray, np.ndarray]:
         """Runs of ids, each beginning at a whole byte: payload, first byte of each run (and

@@ -93,9 +93,11 @@ def copied_runs(rounds: list[DataFrame], min_lines: int = MIN_LINES) -> DataFram
     )
 
 
-def without_copied_runs(docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``line_dedup``: n_lines, n_removed, n_runs, longest_copy
-    and kept (the text without the deleted lines)."""
+def without_copied_runs(
+    docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str = "doc_id", text: str = "text", out: str = "line_dedup"
+) -> DataFrame:
+    """``docs`` with a struct column ``out`` (in place of any of that name): n_lines, n_removed,
+    n_runs, longest_copy and kept (the text without the deleted lines)."""
     lines = F.split(F.col(text), "\n", -1)
     total = F.coalesce(F.size(lines), F.lit(0))
     total = F.when(F.col(text).isNull(), 0).otherwise(total)
@@ -106,7 +108,7 @@ def without_copied_runs(docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str
             total.alias("n_lines"), none.alias("n_removed"), none.alias("n_runs"), none.alias("longest_copy"),
             F.col(text).alias("kept"),
         )
-        return docs.withColumn("line_dedup", parts)
+        return docs.withColumn(out, parts)
     per_text = runs.groupBy(F.col("doc").alias("__doc"), F.col("key").alias("__key")).agg(
         F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__runs"), F.max("longest").alias("__longest")
     )
@@ -125,7 +127,7 @@ def without_copied_runs(docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str
         F.coalesce("__longest", F.lit(0)).alias("longest_copy"),
         F.when(changed, F.array_join(F.flatten(pieces), "\n")).otherwise(F.col(text)).alias("kept"),
     )
-    return joined.select(*(docs[c] for c in docs.columns), parts.alias("line_dedup"))
+    return joined.select(*(docs[c] for c in docs.columns if c != out), parts.alias(out))
 
 
 def oracle(levels: int = 13, min_lines: int = MIN_LINES) -> str:
