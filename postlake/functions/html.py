@@ -11,28 +11,34 @@ _ENTITIES = {
 }
 
 
+def _resolved(text: Column) -> Column:
+    for entity, char in _ENTITIES.items():
+        text = F.regexp_replace(text, entity, char)
+    return text
+
+
 def hrefs(html: Column) -> Column:
     """Targets of all links of a page, in page order."""
-    return F.regexp_extract_all(html, F.lit(r'<a\b[^>]*?\bhref="([^"]*)"'), F.lit(1))
+    link = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    found = F.regexp_extract_all(html, F.lit(link), F.lit(1))
+    return F.transform(found, lambda target: _resolved(F.regexp_replace(target, r"^[\"']|[\"']$", "")))
 
 
 def inner_text(markup: Column) -> Column:
     """Text without tags and without the white space around it; named entities resolved."""
-    text = F.regexp_replace(markup, r"<[^>]*>", "")
-    for entity, char in _ENTITIES.items():
-        text = F.regexp_replace(text, entity, char)
+    text = _resolved(F.regexp_replace(markup, r"<[^>]*>", ""))
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
 def first_element(html: Column, tag: str) -> Column:
     """Text of the first element of a tag; NULL if there is none."""
-    pattern = rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>"
+    pattern = rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"
     return F.when(html.rlike(pattern), inner_text(F.regexp_extract(html, pattern, 1)))
 
 
 def all_elements(html: Column, tag: str) -> Column:
     """Texts of all elements of a tag in page order, blanks dropped."""
-    pattern = rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>"
+    pattern = rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"
     texts = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), inner_text)
     return F.filter(texts, lambda text: text != "")
 

@@ -14,8 +14,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A word character as title matching sees it: any letter, decimal digit or "_".
-WORD = r"[\p{L}\p{Nd}_]"
+# A word character as title matching sees it: any letter, decimal digit or "_", and the
+# marks of decomposed letters.
+WORD = r"[\p{L}\p{Nd}\p{Mn}_]"
 DIGITS = r"(\d+)"
 
 

@@ -60,9 +60,15 @@ def split_required(
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """FLT-2: (parsed rows without the corrupt column, unparsable rows)."""
+    """FLT-2: (parsed rows without the corrupt column, unparsable rows).
+
+    Which lines are corrupt depends on the columns that are parsed, and a JSON source refuses
+    to parse none.  Both halves therefore read every column (the condition on their hash
+    always holds), so they can be counted and projected freely and always agree.
+    """
+    whole = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns if c != CORRUPT)), F.lit(2)) < 2
     broken = F.col(CORRUPT).isNotNull()
-    return df.filter(~broken).drop(CORRUPT), df.filter(broken)
+    return df.filter(~broken & whole).drop(CORRUPT), df.filter(broken & whole)
 
 
 def named(df: DataFrame, key: str, *, no_blanks: bool = False) -> DataFrame:
@@ -72,7 +78,8 @@ def named(df: DataFrame, key: str, *, no_blanks: bool = False) -> DataFrame:
 
 def title_like(keyword: str, title: str = "job_title") -> Column:
     """FLT-5: LIKE search; "%" and "_" in the keyword are wildcards."""
-    return F.lower(F.col(title)).like(f"%{keyword.lower()}%")
+    plain = keyword.lower().replace("\\", "\\\\")  # a backslash stands for itself
+    return F.lower(F.col(title)).like(f"%{plain}%")
 
 
 def title_contains(text: str, title: str = "job_title") -> Column:

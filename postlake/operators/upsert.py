@@ -36,18 +36,9 @@ def require_unique(source: DataFrame, key: str) -> DataFrame:
     return checked.filter(F.when(F.col(_NTH) == 1, True).otherwise(clash.cast("boolean"))).drop(_NTH)
 
 
-def new_rows(
-    target: DataFrame, source: DataFrame, key: str, *, small_source: bool = False
-) -> DataFrame:
-    """Source rows whose key the target lacks.
-
-    With ``small_source`` the target is only scanned for its key column and
-    filtered by the broadcast source keys; it is not shuffled.
-    """
-    known = target.select(key)
-    if small_source:
-        known = known.join(F.broadcast(source.select(key)), key, "left_semi")
-    return source.join(known, key, "left_anti")
+def new_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Source rows whose key the target lacks."""
+    return source.join(target.select(key), key, "left_anti")
 
 
 def upsert(
@@ -59,39 +50,27 @@ def upsert(
     guard: Sequence[str] = (),
     keep: Sequence[str] = (),
     insert_only: bool = False,
-    small_source: bool = False,
 ) -> DataFrame:
-    """The whole target after the upsert.
-
-    ``small_source`` is for callers that counted the source and found it fit
-    to broadcast: the target is then neither shuffled nor sorted.  Otherwise
-    one full outer join on the key does both halves, and a target bucketed by
-    the key still needs no exchange.
+    """The whole target after the upsert: one full outer join on the key, in which a target
+    bucketed by the key needs no exchange.
     """
     unknown = sorted(set(source.columns) - set(target.columns))
     if unknown:
         raise ValueError(f"columns not in the target: {unknown}")
     source = require_unique(source, key)
     if insert_only:
-        fresh = new_rows(target, source, key, small_source=small_source)
+        fresh = new_rows(target, source, key)
         return target.unionByName(fresh, allowMissingColumns=True)
 
     old = target.withColumn(_OLD, F.lit(True)).alias("t")
     new = source.withColumn(_NEW, F.lit(True)).alias("s")
     same_key = F.col(f"t.{key}") == F.col(f"s.{key}")
-    if small_source:
-        joined = old.join(F.broadcast(new), same_key, "left")
-    else:
-        joined = old.join(new, same_key, "full_outer")
+    joined = old.join(new, same_key, "full_outer")
     # Decided once per row, in a projection of its own, not once per column.
     decided = joined.withColumn(_CHANGED, _changed([c for c in guard if c in source.columns]))
-    merged = decided.select(
+    return decided.select(
         *(_merged(c, key, source.columns, set_null, keep).alias(c) for c in target.columns)
     )
-    if not small_source:
-        return merged
-    fresh = new_rows(target, source, key, small_source=True)
-    return merged.unionByName(fresh, allowMissingColumns=True)
 
 
 def _changed(watched: Sequence[str]) -> Column:

@@ -84,6 +84,13 @@ def write_bronze(
     return counts.get
 
 
+def run_time(day: dt.date) -> Column:
+    """The time of day of now, on the day the run is for: a rerun or a backfill lands in its
+    own day's slice."""
+    now = F.date_format(F.current_timestamp(), "HH:mm:ss.SSSSSS")
+    return F.to_timestamp(F.concat(F.lit(f"{day.isoformat()} "), now))
+
+
 def run_bronze(
     spark: SparkSession,
     lake: Lake,
@@ -92,7 +99,8 @@ def run_bronze(
     ingested_at: Column | None = None,
 ) -> dict[str, int]:
     landed = read_landing(spark, lake.landing, source.name, day, lake.schema_dir)
-    return write_bronze(landed, lake, source.name, day, ingested_at)
+    stamp = run_time(day) if ingested_at is None else ingested_at
+    return write_bronze(landed, lake, source.name, day, stamp)
 
 
 # --- silver ---------------------------------------------------------------------------
@@ -128,7 +136,6 @@ def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) ->
             row_level=lake.row_level,
             partition_ts="ingested_at",
             buckets=lake.buckets,
-            small_source=sinks.fits_broadcast(batch),
             guard=silver_plan.GUARD,
             keep=silver_plan.KEEP,
         )
@@ -173,8 +180,6 @@ def run_gold(
     rows = stage_batch(united, "gold")
     if not has_rows(rows):
         return False
-    # Dimensions and facts are narrower than the rows they come from.
-    small = sinks.fits_broadcast(rows)
 
     def put(df: DataFrame, name: str, key: str, **rule) -> None:
         sinks.upsert_table(
@@ -183,7 +188,6 @@ def run_gold(
             key,
             row_level=lake.row_level,
             buckets=lake.buckets,
-            small_source=small,
             **rule,
         )
 
@@ -199,7 +203,6 @@ def run_gold(
         lake.table("gold", "bridge_job_skills"),
         "bridge_id",
         row_level=lake.row_level,
-        small_source=sinks.fits_broadcast(links),
     )
     return True
 
@@ -214,8 +217,10 @@ def run_day(
     """All sources through bronze and silver, then gold once."""
     metrics = []
     for source in sources:
-        run_bronze(spark, lake, source, day, ingested_at)
+        landed = run_bronze(spark, lake, source, day, ingested_at)
         if spark.catalog.tableExists(lake.table("bronze", source.table)):
             metrics.append(run_silver(spark, lake, source, day))
+            if landed["valid"] and not metrics[-1]["bronze_count"]:
+                log.error("%s: %s rows landed, none of them on %s", source.name, landed["valid"], day)
     run_gold(spark, lake, day)
     return metrics

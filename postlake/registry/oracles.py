@@ -428,7 +428,6 @@ _FROM_TABLES = {
               FROM pages) WHERE contains(href, '/')""",
     "web_title": f"""SELECT * FROM (SELECT page_id, CASE WHEN contains(html, '<h1>') THEN {_heading()}
         END AS job_title FROM pages) WHERE job_title IS NOT NULL AND job_title <> ''""",
-    "web_records": f"SELECT url AS job_url, {_heading()} AS job_title FROM pages",
     "web_list_items": r"""SELECT page_id, array_to_string(list_filter(list_transform(
         regexp_extract_all(html, '<li>(.*?)</li>', 1),
         lambda x: trim(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&amp;', '&'))),

@@ -12,7 +12,6 @@ from postlake.fixtures import raw_postings
 from postlake.functions.salary import salary_text
 from postlake.operators import aggregate, columns, filters, ranking, web
 from postlake.operators import standardize as std
-from postlake.operators.records import extract_records
 from postlake.operators.upsert import upsert
 from postlake.plans import gold, quality, serving
 from postlake.plans import silver as silver_plan
@@ -343,12 +342,6 @@ def web_label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.labelled_values(pages, r'\b([a-z]+)="([^"]*)"', wanted)
 
 
-def web_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole pages through the record extraction of one source; the load time is left out."""
-    pages = _table(spark, sf_dir, "pages")
-    return extract_records(pages, "careerviet").select("job_url", "job_title")
-
-
 QUERIES: dict[str, Query] = {
     "src_json_permissive": src_json_permissive,
     "snk_landing_roundtrip": snk_landing_roundtrip,
@@ -421,5 +414,4 @@ QUERIES: dict[str, Query] = {
     "web_title": web_title,
     "web_list_items": web_list_items,
     "web_label_values": web_label_values,
-    "web_records": web_records,
 }

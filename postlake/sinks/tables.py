@@ -23,9 +23,6 @@ from postlake.operators.upsert import new_rows, require_unique, upsert
 
 NAMESPACES = ("sandbox", "bronze", "silver", "gold")
 
-# An upsert source may be broadcast if its rows, as stored in memory, stay below this.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 
 def create_namespaces(spark: SparkSession, root: str | None = None, catalog: str | None = None):
     """SNK-9: idempotent."""
@@ -80,13 +77,6 @@ def write_quarantine(df: DataFrame, path: str) -> int:
     return counts.get["rows"]
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Measured, not estimated: the text of all values plus 8 bytes per field."""
-    text = F.octet_length(F.to_json(F.struct("*")))
-    size = df.agg(F.sum(text + 8 * len(df.columns)).alias("bytes")).first()["bytes"]
-    return (size or 0) <= BROADCAST_BYTES
-
-
 # --- versions -----------------------------------------------------------------
 
 
@@ -166,7 +156,6 @@ def upsert_table(
     row_level: bool = False,
     partition_ts: str | None = None,
     buckets: int | None = None,
-    small_source: bool = False,
     **rule,
 ) -> None:
     """Upsert into a table, creating it on the first run (UPS-5)."""
@@ -183,7 +172,7 @@ def upsert_table(
         publish_version(first, table, bucket_by=key, buckets=buckets, hashed=True)
         return
     target = spark.table(table)
-    merged = upsert(target, source, key, small_source=small_source, **rule)
+    merged = upsert(target, source, key, **rule)
     publish_version(merged, table, bucket_by=key, buckets=buckets, hashed=True)
 
 
@@ -193,7 +182,6 @@ def append_new(
     key: str,
     *,
     row_level: bool = False,
-    small_source: bool = False,
 ) -> None:
     """Insert-only upsert (UPS-4): known rows are never rewritten, new ones are appended."""
     spark = source.sparkSession
@@ -202,7 +190,7 @@ def append_new(
         if row_level:
             native_merge(source, table, key, insert_only=True)
             return
-        source = new_rows(spark.table(table), source, key, small_source=small_source)
+        source = new_rows(spark.table(table), source, key)
     append_or_create(source, table, row_level=row_level)
 
 

@@ -2,11 +2,13 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from postlake.operators import filters
 from postlake.plans import daily
 from postlake.plans import quality
 from postlake.plans.serving import Star, search, stats, top_skills
@@ -104,9 +106,14 @@ def posting(n, **fields):
     } | fields
 
 
-def test_two_days(spark, lake, tmp_path_factory):
-    from pathlib import Path
+def test_both_halves_of_a_landing_file_can_be_counted(spark, tmp_path):
+    drop_file(tmp_path, "topcv", DAY, [posting(1), "broken", posting(2), "{"])
+    good, bad = filters.split_corrupt(landing.read_landing(spark, str(tmp_path), "topcv", DAY))
+    assert (good.count(), bad.count()) == (2, 2)
+    assert [r.job_url for r in good.select("job_url").collect()] == ["http://x/1", "http://x/2"]
+
 
+def test_two_days(spark, lake, tmp_path_factory):
     root = Path(lake.landing)
     drop_file(
         root, "topcv", DAY,
@@ -203,8 +210,6 @@ def test_gold_without_silver(spark, lake):
 
 
 def test_all_lines_broken(spark, lake):
-    from pathlib import Path
-
     drop_file(Path(lake.landing), "vietnamworks", DAY, ["nope", "{"])
     out = daily.run_bronze(spark, lake, registry.get_source("vietnamworks"), DAY)
     assert out == {"valid": 0, "corrupt": 2}
@@ -212,8 +217,6 @@ def test_all_lines_broken(spark, lake):
 
 
 def test_stream_reads_each_file_once(spark, lake, tmp_path):
-    from pathlib import Path
-
     source = registry.get_source("itviec")
     line = {"job_title": "x", "company_name": "c", "job_url": "u", "skills": ["a"]}
     drop_file(Path(lake.landing), "itviec", DAY, [line, "bad"])
@@ -296,3 +299,14 @@ def test_publish_order_and_abort(spark):
         serving.publish_all(spark, "url", {}, publish=publish)
     assert done == [(f"gold.{t}", t) for t in ("dim_company", "dim_location", "dim_job_category")]
     assert serving.publish_table(spark, "gold.missing", "missing", "url", {}) is False
+
+
+def test_a_past_day_keeps_its_rows(spark, lake, tmp_path):
+    place = daily.Lake(landing=str(tmp_path / "landing"), quarantine=str(tmp_path / "q"), buckets=8)
+    source = registry.get_source("vietnamworks")
+    past = dt.date(2025, 11, 3)
+    drop_file(Path(place.landing), source.name, past, [posting(n, skills="SQL") for n in range(5)])
+    metrics = daily.run_day(spark, place, past, [source])
+    assert (metrics[0]["bronze_count"], metrics[0]["silver_count"]) == (5, 5)
+    days = {r.d for r in spark.table("gold.fact_job_postings").where("source = 'vietnamworks'").selectExpr("to_date(ingested_at) d").collect()}
+    assert days == {past}

@@ -45,18 +45,17 @@ RULES = {
 }
 
 
-@pytest.mark.parametrize("small", [False, True], ids=["outer", "broadcast"])
 @pytest.mark.parametrize("rule", RULES.values(), ids=RULES.keys())
 @settings(
     max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(target=tables, source=tables)
-def test_equals_dictionary_merge(spark, rule, small, target, source):
-    out = upsert(frame(spark, target), frame(spark, source), "k", small_source=small, **rule)
+def test_equals_dictionary_merge(spark, rule, target, source):
+    out = upsert(frame(spark, target), frame(spark, source), "k", **rule)
     rows = [tuple(r) for r in out.collect()]
     assert len(rows) == len({r[0] for r in rows})
     assert {r[0]: r[1:] for r in rows} == merged(target, source, **rule)
-    again = upsert(out, frame(spark, source), "k", small_source=small, **rule)
+    again = upsert(out, frame(spark, source), "k", **rule)
     assert sorted(map(str, again.collect())) == sorted(map(str, out.collect()))
 
 
@@ -69,20 +68,18 @@ def test_source_without_a_column(spark):
         upsert(source, target, "k")
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_repeated_source_key_fails(spark, small):
+def test_repeated_source_key_fails(spark):
     target = frame(spark, {"p": ("x", "y", "z")})
     source = frame(spark, {"p": ("1", "1", "1")})
     with pytest.raises(PySparkException, match="duplicate k in upsert source: p"):
-        upsert(target, source.union(source), "k", small_source=small).collect()
+        upsert(target, source.union(source), "k").collect()
     assert require_unique(source, "k").count() == 1
 
 
 def test_new_rows(spark):
     target = frame(spark, {"p": ("x", "y", "z")})
     source = frame(spark, {"p": ("1", "1", "1"), "q": ("2", "2", "2")})
-    for small in (False, True):
-        assert [r.k for r in new_rows(target, source, "k", small_source=small).collect()] == ["q"]
+    assert [r.k for r in new_rows(target, source, "k").collect()] == ["q"]
 
 
 def plan_of(df):
@@ -106,24 +103,14 @@ def test_bucketed_target_is_not_shuffled(spark, tmp_path):
     assert "SelectedBucketsCount: 8 out of 8" in plan or "Bucketed: true" in plan
 
 
-def test_small_source_leaves_the_target_in_place(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(200).selectExpr("cast(id as string) k", "'a' a", "'b' b").write.parquet(path)
-    target = spark.read.parquet(path)
-    source = target.limit(3)
-    plan = plan_of(upsert(target, source, "k", small_source=True))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-
-
 def test_upserted_tables_keep_one_file_per_bucket(spark, tmp_path):
     from postlake.sinks.tables import upsert_table
 
     rows = spark.range(500).selectExpr("cast(id as string) k", "'a' a", "cast(id as string) b")
     upsert_table(rows, "keyed", "k", buckets=8)
-    for small in (False, True):
-        upsert_table(rows.filter("k < 20").withColumn("a", F.lit("z")), "keyed", "k", buckets=8, small_source=small)
-        table = spark.table("keyed")
-        assert table.count() == 500 and table.filter("a = 'z'").count() == 20
-        files = [f.rsplit("/", 1)[-1] for f in table.inputFiles()]
-        buckets = [f.split("_")[1].split(".")[0] for f in files]
-        assert len(set(buckets)) == 8 and (small or len(files) == 8)
+    upsert_table(rows.filter("k < 20").withColumn("a", F.lit("z")), "keyed", "k", buckets=8)
+    table = spark.table("keyed")
+    assert table.count() == 500 and table.filter("a = 'z'").count() == 20
+    files = [f.rsplit("/", 1)[-1] for f in table.inputFiles()]
+    buckets = [f.split("_")[1].split(".")[0] for f in files]
+    assert len(set(buckets)) == len(files) == 8
