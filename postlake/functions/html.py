@@ -5,20 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Common entities; browsers read them without the semicolon too.  "&amp;" comes last.
-_ENTITIES = {
-    "&lt;?": "<", "&gt;?": ">", "&quot;?": '"', "&#39;?": "'", "&nbsp;?": "\u00a0", "&amp;?": "&",
-}
+# Named entities covered; browsers read them without the semicolon too.  "&amp;" comes last.
+_ENTITIES = {"&lt;?": "<", "&gt;?": ">", "&quot;?": '"', "&nbsp;?": "\u00a0", "&amp;?": "&"}
+_NUMBERED = "&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?"
+
+
+def _character(number: Column) -> Column:
+    """The character of a decimal or ("x...") hexadecimal number; no character: U+FFFD."""
+    code = F.when(
+        F.lower(F.substring(number, 1, 1)) == "x", F.conv(F.substring(number, 2, 8), 16, 10)
+    ).otherwise(number).cast("int")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    code = F.when(valid, code).otherwise(0xFFFD)
+    return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
 
 
 def _resolved(text: Column) -> Column:
+    """Numbered entities, then the named ones."""
+    between = F.split(text, _NUMBERED, -1)
+    numbers = F.regexp_extract_all(text, F.lit(_NUMBERED), F.lit(1))
+    characters = F.concat(F.transform(numbers, _character), F.array(F.lit("")))
+    joined = F.array_join(F.zip_with(between, characters, lambda a, b: F.concat(a, b)), "")
+    text = F.when(text.contains("&#"), joined).otherwise(text)
     for entity, char in _ENTITIES.items():
         text = F.regexp_replace(text, entity, char)
     return text
 
 
-def hrefs(html: Column) -> Column:
-    """Targets of all links of a page, in page order."""
+def hrefs(html: Column, scope: str | None = None) -> Column:
+    """Targets of all links of a page, in page order; ``scope`` is a pattern whose first
+    group is where links count."""
+    if scope:
+        html = F.array_join(F.regexp_extract_all(html, F.lit(scope), F.lit(1)), "\n")
     link = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     found = F.regexp_extract_all(html, F.lit(link), F.lit(1))
     return F.transform(found, lambda target: _resolved(F.regexp_replace(target, r"^[\"']|[\"']$", "")))
@@ -37,8 +55,12 @@ def first_element(html: Column, tag: str) -> Column:
 
 
 def all_elements(html: Column, tag: str) -> Column:
-    """Texts of all elements of a tag in page order, blanks dropped."""
-    pattern = rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"
+    """Texts of all elements of a tag in page order, blanks dropped.
+
+    Elements are split where they start: one ends at its end tag or where the next one (an
+    inner one, or a neighbour after a left-out end tag) begins.
+    """
+    pattern = rf"(?is)<{tag}\b[^>]*>(.*?)(?=<{tag}\b|</{tag}\s*>|\z)"
     texts = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), inner_text)
     return F.filter(texts, lambda text: text != "")
 

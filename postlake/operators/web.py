@@ -28,11 +28,26 @@ class LinkRule:
     host: str = ""
     within: str = ""
     unique: bool = False
+    scope: str | None = None
+    after: str | None = None
+
+
+def _class(name: str) -> str:
+    """Pattern of a start tag with the class."""
+    value = rf"[^\"'>]*(?<![\w-]){name}(?![\w-])[^\"'>]*"
+    return rf"(?i)<[a-z][a-z0-9]*\b[^>]*?\bclass\s*=\s*[\"']{value}[\"'][^>]*>"
+
+
+def _of_class(name: str) -> str:
+    """Pattern of a link that stands first in an element with the class."""
+    return rf"{_class(name)}\s*(<a\b[^>]*>)"
 
 
 # --- Fixed values: posting links per source -------------------------------------
 LINK_RULES = {
-    "itviec": LinkRule(any_of=("/it-jobs/",), host="https://itviec.com"),
+    "itviec": LinkRule(
+        any_of=("/it-jobs/",), host="https://itviec.com", scope=r"(?is)<h3\b[^>]*>(.*?)</h3\s*>"
+    ),
     "vietnamworks": LinkRule(
         any_of=("-jv", "/viec-lam/", "/job/"),
         longer_than=20,
@@ -48,7 +63,8 @@ LINK_RULES = {
         within="careerviet.vn",
         unique=True,
     ),
-    "topcv": LinkRule(),
+    # Links that stand first in an element of class "title", from the first "body-box" on.
+    "topcv": LinkRule(scope=_of_class("title"), after=_class("body-box")),
 }
 
 
@@ -71,7 +87,10 @@ def _absolute(href: Column, host: str) -> Column:
 
 def links(pages: DataFrame, rule: LinkRule, html: str = "html") -> DataFrame:
     """WEB-1: one row per kept link; repeats of one page go before the explode."""
-    found = F.filter(markup.hrefs(F.col(html)), lambda href: _kept(href, rule))
+    page = F.col(html)
+    if rule.after:
+        page = F.get(F.split(page, rule.after, 2), 1)
+    found = F.filter(markup.hrefs(page, rule.scope), lambda href: _kept(href, rule))
     found = F.transform(found, lambda href: _absolute(href, rule.host))
     if rule.within:
         found = F.filter(found, lambda link: link.contains(rule.within))

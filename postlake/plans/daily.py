@@ -1,6 +1,7 @@
 """The daily run: landing -> bronze -> silver -> gold -> serving.
 
-Every step can be rerun.  Silver and gold are keyed upserts; the batch between
+Every step can be rerun.  Bronze, quarantine and rejects of a day are replaced, silver
+and gold are keyed upserts; the batch between
 them is a table in the shared staging folder, so that its several readers do
 not compute it again and a lost executor costs one task.
 """
@@ -9,19 +10,17 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.operators import aggregate
 from postlake.operators.columns import with_audit
-from postlake.operators.filters import CORRUPT, has_rows, split_corrupt
+from postlake.operators.filters import CORRUPT, all_present, has_rows, split_corrupt
 from postlake.plans import gold
 from postlake.plans import silver as silver_plan
-from postlake.session import staging_root
+from postlake.session import stored
 from postlake.sinks import tables as sinks
 from postlake.sources.landing import day_path, read_landing
 from postlake.sources.registry import SOURCES, Source
@@ -39,7 +38,8 @@ class Lake:
     ``spark.sql.shuffle.partitions``, or joins shuffle them anyway.
     ``compat`` keeps three habits that lose rows: a day that ends at
     23:59:59, one row per posting before incomplete ones are split off, and
-    gold reading by first load instead of last change.
+    gold reading by first load instead of last change.  ``prefix`` tells
+    several lakes of one catalog apart: it comes before every namespace.
     """
 
     landing: str
@@ -49,19 +49,28 @@ class Lake:
     buckets: int | None = None
     schema_dir: str | None = None
     compat: bool = False
+    prefix: str = ""
 
     def table(self, namespace: str, name: str) -> str:
-        return ".".join(part for part in (self.catalog, namespace, name) if part)
+        return ".".join(part for part in (self.catalog, self.prefix + namespace, name) if part)
 
 
 # --- bronze ---------------------------------------------------------------------------
 
 
 def write_bronze(
-    landed: DataFrame, lake: Lake, source: str, day: dt.date, ingested_at: Column | None = None
+    landed: DataFrame,
+    lake: Lake,
+    source: str,
+    day: dt.date,
+    ingested_at: Column | None = None,
+    *,
+    replace: bool = False,
 ) -> dict[str, int]:
     """Append parsed rows, set unparsable lines aside; how many there were of each.
 
+    ``replace`` puts them in the place of the days they fall in, so that a rerun does not
+    double them.  It is for a landing folder that holds all rows of its day; a stream appends.
     Bad lines are counted while the good rows are written, so a clean file is
     parsed once; only a file with bad lines is read a second time.
     """
@@ -69,7 +78,7 @@ def write_bronze(
     good, bad = split_corrupt(landed)
     if not has_rows(good):
         log.warning("no valid rows for %s on %s", source, day)
-        return {"valid": 0, "corrupt": sinks.write_quarantine(bad, aside)}
+        return {"valid": 0, "corrupt": sinks.write_quarantine(bad, aside, replace=replace)}
     counts = Observation()
     broken = F.col(CORRUPT).isNotNull()
     counted = landed.observe(
@@ -77,10 +86,10 @@ def write_bronze(
     )
     rows = with_audit(split_corrupt(counted)[0], source, ingested_at)
     table = lake.table("bronze", f"{source}_jobs")
-    sinks.append_or_create(rows, table, "ingested_at", row_level=lake.row_level)
+    sinks.append_or_create(rows, table, "ingested_at", row_level=lake.row_level, replace=replace)
     if counts.get["corrupt"]:
         log.warning("%s: %s corrupt lines set aside", source, counts.get["corrupt"])
-        sinks.write_quarantine(bad, aside)
+        sinks.write_quarantine(bad, aside, replace=replace)
     return counts.get
 
 
@@ -100,25 +109,19 @@ def run_bronze(
 ) -> dict[str, int]:
     landed = read_landing(spark, lake.landing, source.name, day, lake.schema_dir)
     stamp = run_time(day) if ingested_at is None else ingested_at
-    return write_bronze(landed, lake, source.name, day, stamp)
+    return write_bronze(landed, lake, source.name, day, stamp, replace=True)
 
 
 # --- silver ---------------------------------------------------------------------------
 
 
-def stage_batch(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write the batch to the staging folder and read it back.
+def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) -> dict[str, object]:
+    """Standardize one day of a source's bronze rows and upsert them.  Returns AGG-5.
 
-    Batches are left there; the folder is scratch space with an expiry rule.
+    Rows and complete rows are counted in a scan of the required columns without an
+    exchange.  They are not observed on the way to the batch: there they would pass an
+    exchange, and a map task that is run again after a lost executor counts twice.
     """
-    spark = df.sparkSession
-    path = f"{staging_root(spark)}/batches/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) -> dict[str, object]:
-    """Standardize one day of a source's bronze rows and upsert them.  Returns AGG-5."""
     bronze = read_day(
         spark, lake.table("bronze", source.table), day, to_the_second=lake.compat
     )
@@ -126,8 +129,12 @@ def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) ->
     complete = silver_plan.complete_postings(conformed, dedup_first=lake.compat)
     rejected = silver_plan.rejected_postings(conformed, dedup_first=lake.compat)
 
-    batch = stage_batch(silver_plan.with_updated_at(complete), source.table)
+    batch = stored(silver_plan.with_updated_at(complete), source.table)
     kept = batch.count()
+    counted = conformed.agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(~all_present(conformed)).alias("rejects")
+    )
+    total, rejects = counted.first()
     if kept:
         sinks.upsert_table(
             batch,
@@ -139,17 +146,21 @@ def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) ->
             guard=silver_plan.GUARD,
             keep=silver_plan.KEEP,
         )
-    sinks.write_rejects(
-        rejected, lake.table("silver", f"{source.table}_dlq"), row_level=lake.row_level
-    )
-
-    metrics = aggregate.batch_metrics(silver_plan.metrics_input(conformed), "job_id", "complete")
-    counted = metrics.first().asDict()
+    if rejects:
+        sinks.write_rejects(
+            rejected,
+            lake.table("silver", f"{source.table}_dlq"),
+            "ingested_at",
+            row_level=lake.row_level,
+            replace=True,
+        )
     return {
         "source": source.name,
         "run_date": day.isoformat(),
-        **counted,
-        **_dropped(counted["bronze_count"], kept),
+        "bronze_count": total,
+        "rejected_count": rejects,
+        "repeat_count": total - kept - rejects,
+        **_dropped(total, kept),
     }
 
 
@@ -177,7 +188,7 @@ def run_gold(
     if united is None:
         return False
     # One scan of silver for the day; the seven builders read their columns of it.
-    rows = stage_batch(united, "gold")
+    rows = stored(united, "gold")
     if not has_rows(rows):
         return False
 

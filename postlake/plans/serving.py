@@ -12,6 +12,7 @@ from postlake.functions.salary import salary_text
 from postlake.operators import aggregate, ranking
 from postlake.operators.filters import title_like
 from postlake.operators.lookup import star_lookup
+from postlake.session import stored
 
 # --- Fixed values: columns of a search hit -----------------------------------------
 HIT = (
@@ -20,6 +21,10 @@ HIT = (
 )
 
 
+MOST_HITS = 10_000
+"""A search is a list for a reader; its keys are broadcast, so it has a bound."""
+
+
 @dataclass(frozen=True)
 class Star:
     """The seven gold tables."""
@@ -40,18 +45,21 @@ class Star:
 def _hits(star: Star, keyword: str, limit: int) -> DataFrame:
     """The newest matching postings, then their names.
 
-    The lookups keep every row, so the limit is taken before them: they run on
-    ``limit`` rows instead of all matches.
+    The lookups keep every row, so the limit is taken before them, and the hits
+    are stored: they run on ``limit`` rows instead of all matches.
     """
+    if limit > MOST_HITS:
+        raise ValueError(f"a search lists at most {MOST_HITS} hits")
     newest = ranking.latest_first(star.fact_job_postings, ["job_id"])
     found = star.fact_job_postings.filter(title_like(keyword)).orderBy(*newest).limit(limit)
     return star_lookup(
-        found,
+        stored(found, "hits"),
         [
             (star.dim_company, "company_id", ["company_name"]),
             (star.dim_location, "location_id", ["location_name"]),
             (star.dim_level, "level_id", ["level_name"]),
         ],
+        few=True,
     )
 
 

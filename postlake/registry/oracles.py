@@ -388,6 +388,22 @@ _FROM_STAR = {
     "dq_bridge_orphan_skills": _orphans(
         "every_bridge", "dim_skill", "skill_id", "invalid_bridge_skills", False
     ),
+    "dq_orphans_parts": " UNION ALL ".join(
+        f"SELECT '{name}' AS check_name, {name} AS n FROM ("
+        + _orphans(child, f"(SELECT * FROM {dim} WHERE {key} < '8')", key, name, skip_nulls)
+        + ")"
+        for child, dim, key, name, skip_nulls in (
+            ("every_fact", "dim_company", "company_id", "orphaned_companies", True),
+            ("every_fact", "dim_location", "location_id", "orphaned_locations", True),
+            ("every_fact", "dim_job_category", "job_category_id", "orphaned_categories", True),
+            ("every_fact", "dim_level", "level_id", "orphaned_levels", True),
+            ("every_bridge", "dim_skill", "skill_id", "invalid_bridge_skills", False),
+        )
+    ),
+    "run_day_counts": """SELECT 'bronze' AS name, count(*) AS n FROM std UNION ALL
+        SELECT 'silver', count(*) FROM silver UNION ALL
+        SELECT 'rejects', count(*) FROM std WHERE NOT complete UNION ALL
+        SELECT 'facts', count(*) FROM silver""",
     "dq_salary_inverted": """SELECT job_id, salary_min, salary_max FROM every_fact
         WHERE salary_min > salary_max""",
     "dq_salary_negative": """SELECT job_id, salary_min, salary_max FROM every_fact
@@ -413,6 +429,10 @@ _FROM_TABLES = {
         CASE WHEN NOT json_valid(t) THEN t END AS _corrupt_record
         FROM (SELECT event_id, CASE WHEN event_type = 'error'
             THEN substring(props, 1, length(props) - 1) ELSE props END AS t FROM events)""",
+    "snk_quarantine": """SELECT t AS _corrupt_record
+        FROM (SELECT CASE WHEN event_type = 'error'
+            THEN substring(props, 1, length(props) - 1) ELSE props END AS t FROM events)
+        WHERE NOT json_valid(t)""",
     "snk_append": "SELECT *, CAST(ts AS DATE) AS ingest_date FROM events",
     "flt_day_slice": """SELECT * FROM events
         WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'""",
@@ -441,4 +461,8 @@ _FROM_TABLES = {
     ),
 }
 
+# Tables written twice hold what the plain joins give.
+_FROM_STAR["snk_upsert_table"] = _FROM_STAR["ups_guarded"]
+_FROM_STAR["snk_append_new"] = _FROM_STAR["ups_insert_only"]
+
 ORACLES = {**{name: _with(sql) for name, sql in _FROM_STAR.items()}, **_FROM_TABLES}

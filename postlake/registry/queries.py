@@ -13,12 +13,13 @@ from postlake.functions.salary import salary_text
 from postlake.operators import aggregate, columns, filters, ranking, web
 from postlake.operators import standardize as std
 from postlake.operators.upsert import upsert
-from postlake.plans import gold, quality, serving
+from postlake.plans import daily, gold, quality, serving
 from postlake.plans import silver as silver_plan
 from postlake.plans.serving import Star
 from postlake.registry import stage
 from postlake.sinks import tables as sinks
-from postlake.sources.landing import read_json_lines
+from postlake.sources.landing import read_json_lines, write_landing
+from postlake.sources.registry import get_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +69,58 @@ def snk_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(good, "skills")
 
 
+def snk_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event properties as JSON lines, those of errors cut short: the bad lines set aside and
+    read back."""
+    root = stage.staging_path(spark, sf_dir, "quarantine")
+    cut = F.expr("IF(event_type = 'error', substring(props, 1, length(props) - 1), props)")
+
+    def run() -> None:
+        _table(spark, sf_dir, "events").select(cut).write.mode("overwrite").text(f"{root}/lines")
+        lines = read_json_lines(spark, f"{root}/lines", f"k int, {filters.CORRUPT} string")
+        sinks.write_quarantine(filters.split_corrupt(lines)[1], f"{root}/aside", replace=True)
+
+    stage.once(root, run)
+    aside = spark.read.schema(f"{filters.CORRUPT} string")
+    return aside.option("columnNameOfCorruptRecord", "_none").json(f"{root}/aside")
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> daily.Lake:
+    """A lake of its own below the staging folder."""
+    root = stage.staging_path(spark, sf_dir, "lake_run")
+    prefix = f"of_{root.split('/')[-2]}_"
+    lake = daily.Lake(f"{root}/landing", f"{root}/quarantine", buckets=8, prefix=prefix)
+    sinks.create_namespaces(spark, f"{root}/tables", prefix=prefix)
+    return lake
+
+
+def run_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All postings as landing files of a past day, from there to gold, and all of it again:
+    rows of the tables."""
+    lake, source = _lake(spark, sf_dir), get_source("careerviet")
+
+    def run() -> None:
+        rows = raw_postings(spark, sf_dir).select(
+            "job_title", "company_name", "place", "salary", "experience", "level", "deadline",
+            "job_url", F.col("company_industry").alias("industry"), F.split("skills", ",").alias("skills"),
+        )
+        write_landing(rows, lake.landing, source.name, DAY)
+        for _ in range(2):
+            daily.run_day(spark, lake, DAY, [source])
+
+    stage.once(lake.landing, run)
+    names = {
+        "bronze": ("bronze", source.table), "silver": ("silver", source.table),
+        "rejects": ("silver", f"{source.table}_dlq"), "facts": ("gold", "fact_job_postings"),
+    }
+    return columns.union_by_name(
+        [
+            spark.table(lake.table(*table)).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+            for name, table in names.items()
+        ]
+    )
+
+
 def snk_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events appended to a day-partitioned table, read back with the day."""
     sinks.create_namespaces(spark, stage.staging_path(spark, sf_dir, "lake"))
@@ -254,6 +307,32 @@ def ups_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(target, source, "bridge_id", insert_only=True)
 
 
+def snk_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver into a table that does not exist yet, then the later batch into it."""
+    table = _lake(spark, sf_dir).table("silver", "upserted")
+
+    def run() -> None:
+        for rows in (stage.silver(spark, sf_dir), _update_batch(spark, sf_dir)):
+            sinks.upsert_table(
+                rows, table, "job_id", buckets=8, guard=silver_plan.GUARD, keep=silver_plan.KEEP
+            )
+
+    stage.once(stage.staging_path(spark, sf_dir, "upserted"), run)
+    return _joined(spark.table(table), "skills_array")
+
+
+def snk_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links into a table that does not exist yet, then those of the later batch."""
+    table = _lake(spark, sf_dir).table("gold", "links")
+
+    def run() -> None:
+        for rows in (stage.silver(spark, sf_dir), _update_batch(spark, sf_dir)):
+            sinks.append_new(gold.bridge_job_skills(rows, one_row_per_job=True), table, "bridge_id")
+
+    stage.once(stage.staging_path(spark, sf_dir, "links"), run)
+    return spark.table(table)
+
+
 # --- serving and quality -------------------------------------------------------------------------
 
 
@@ -318,6 +397,29 @@ def dq_dup_dim_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.union_by_name(found)
 
 
+def dq_orphans_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orphan checks where every dimension lacks about half of its rows."""
+    every = stage.UncheckedStar(spark, sf_dir)
+    keys = {
+        "dim_company": "company_id", "dim_location": "location_id", "dim_skill": "skill_id",
+        "dim_job_category": "job_category_id", "dim_level": "level_id",
+    }
+    dims = {name: getattr(every, name).where(F.col(key) < "8") for name, key in keys.items()}
+    star = Star(
+        **dims,
+        fact_job_postings=every.fact_job_postings,
+        bridge_job_skills=every.bridge_job_skills,
+    )
+    checks = (
+        quality.orphaned_companies, quality.orphaned_locations, quality.orphaned_categories,
+        quality.orphaned_levels, quality.invalid_bridge_skills,
+    )
+    found = (check(star) for check in checks)
+    return columns.union_by_name(
+        [one.select(F.lit(one.columns[0]).alias("check_name"), F.col(one.columns[0]).alias("n")) for one in found]
+    )
+
+
 # --- web pages -------------------------------------------------------------------------------------
 
 
@@ -346,6 +448,10 @@ QUERIES: dict[str, Query] = {
     "src_json_permissive": src_json_permissive,
     "snk_landing_roundtrip": snk_landing_roundtrip,
     "snk_append": snk_append,
+    "snk_quarantine": snk_quarantine,
+    "run_day_counts": run_day_counts,
+    "snk_upsert_table": snk_upsert_table,
+    "snk_append_new": snk_append_new,
     "snk_dlq_rows": snk_dlq_rows,
     "snk_retention": snk_retention,
     "flt_day_slice": flt_day_slice,
@@ -402,6 +508,7 @@ QUERIES: dict[str, Query] = {
     "dq_orphans_level": _checked(quality.orphaned_levels),
     "dq_bridge_orphan_jobs": dq_bridge_orphan_jobs,
     "dq_bridge_orphan_skills": _checked(quality.invalid_bridge_skills),
+    "dq_orphans_parts": dq_orphans_parts,
     "dq_salary_inverted": _checked(lambda s: quality.salary_inverted_rows(s.fact_job_postings)),
     "dq_salary_inverted_amounts": dq_salary_inverted_amounts,
     "dq_salary_negative_amounts": dq_salary_negative_amounts,

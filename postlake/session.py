@@ -6,10 +6,14 @@ endpoints and credentials come from the caller or from ``spark-submit``.
 
 from __future__ import annotations
 
+import logging
 import tempfile
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+log = logging.getLogger(__name__)
 
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,6 +29,8 @@ SQL_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Pages are large: bound a batch handed to Python by bytes, not by rows alone.
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    # One of a few per key: rows are cut in each task before the exchange, up to this many.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # Landing directories are month=06: keep the leading zero.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
@@ -63,5 +69,16 @@ def staging_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="postlake-")
+        log.warning("spark.checkpoint.dir is unset; intermediate tables go to %s", root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write the rows to the staging folder and read them back.
+
+    They are left there; the folder is scratch space with an expiry rule.
+    """
+    path = f"{staging_root(df.sparkSession)}/batches/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

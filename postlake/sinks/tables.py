@@ -24,24 +24,35 @@ from postlake.operators.upsert import new_rows, require_unique, upsert
 NAMESPACES = ("sandbox", "bronze", "silver", "gold")
 
 
-def create_namespaces(spark: SparkSession, root: str | None = None, catalog: str | None = None):
+def create_namespaces(
+    spark: SparkSession, root: str | None = None, catalog: str | None = None, prefix: str = ""
+):
     """SNK-9: idempotent."""
-    for name in NAMESPACES:
+    for name in (prefix + namespace for namespace in NAMESPACES):
         full = f"{catalog}.{name}" if catalog else name
         place = f" LOCATION '{root.rstrip('/')}/{name}'" if root else ""
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {full}{place}")
 
 
 def append_or_create(
-    df: DataFrame, table: str, ts: str | None = None, *, row_level: bool = False
+    df: DataFrame,
+    table: str,
+    ts: str | None = None,
+    *,
+    row_level: bool = False,
+    replace: bool = False,
 ) -> None:
     """SNK-1: append, or create partitioned by day of ``ts``.
 
     A V2 table format hides the partitioning; a plain table gets a day column.
+    ``replace`` overwrites the days that the rows fall in, and no others.
     """
+    exists = df.sparkSession.catalog.tableExists(table)
     if row_level:
         writer = df.writeTo(table)
-        if df.sparkSession.catalog.tableExists(table):
+        if exists and replace:
+            writer.overwritePartitions()
+        elif exists:
             writer.append()
         else:
             (writer.partitionedBy(F.partitioning.days(ts)) if ts else writer).create()
@@ -49,6 +60,11 @@ def append_or_create(
     writer = df
     if ts:
         writer = df.withColumn(DAY_PARTITION, F.to_date(F.col(ts)))
+    if exists and replace and ts:
+        stored = df.sparkSession.table(table).columns
+        by_day = writer.select(*stored).write.option("partitionOverwriteMode", "dynamic")
+        by_day.insertInto(table, overwrite=True)
+        return
     parts = [DAY_PARTITION] if ts else []
     writer.write.mode("append").format("parquet").partitionBy(*parts).saveAsTable(table)
 
@@ -60,20 +76,25 @@ def rejects(df: DataFrame) -> DataFrame:
     )
 
 
-def write_rejects(df: DataFrame, table: str, *, row_level: bool = False) -> bool:
-    """SNK-3: append rejected rows, if there are any."""
-    if not has_rows(df):
-        return False
-    append_or_create(rejects(df), table, row_level=row_level)
-    return True
+def write_rejects(
+    df: DataFrame,
+    table: str,
+    ts: str | None = None,
+    *,
+    row_level: bool = False,
+    replace: bool = False,
+) -> None:
+    """SNK-3: append rejected rows, or ``replace`` those of the same days of ``ts``."""
+    append_or_create(rejects(df), table, ts, row_level=row_level, replace=replace)
 
 
-def write_quarantine(df: DataFrame, path: str) -> int:
-    """SNK-2: append unparsable lines as JSON, if there are any; how many there were."""
+def write_quarantine(df: DataFrame, path: str, *, replace: bool = False) -> int:
+    """SNK-2: unparsable lines as JSON, if there are any; how many there were."""
     if not has_rows(df):
         return 0
     counts = Observation()
-    df.observe(counts, F.count(F.lit(1)).alias("rows")).write.mode("append").json(path)
+    mode = "overwrite" if replace else "append"
+    df.observe(counts, F.count(F.lit(1)).alias("rows")).write.mode(mode).json(path)
     return counts.get["rows"]
 
 
@@ -206,6 +227,7 @@ def drop_expired(spark: SparkSession, table: str, as_of: dt.date, keep_days: int
     """SNK-8 on a day-partitioned table: whole partitions go, no row is rewritten."""
     listed = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     gone = expired_days(listed, as_of, keep_days)
-    for day in gone:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DAY_PARTITION} = '{day}')")
+    if gone:
+        parts = ", ".join(f"PARTITION ({DAY_PARTITION} = '{day}')" for day in gone)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
     return gone

@@ -310,3 +310,43 @@ def test_a_past_day_keeps_its_rows(spark, lake, tmp_path):
     assert (metrics[0]["bronze_count"], metrics[0]["silver_count"]) == (5, 5)
     days = {r.d for r in spark.table("gold.fact_job_postings").where("source = 'vietnamworks'").selectExpr("to_date(ingested_at) d").collect()}
     assert days == {past}
+
+
+def test_a_rerun_replaces_its_day(spark, lake):
+    source, day = registry.get_source("topcv"), dt.date(2026, 3, 1)
+    root = Path(lake.landing)
+    drop_file(root, "topcv", day, [posting(71), posting(72), posting(73, job_title=" "), "broken"])
+    drop_file(root, "topcv", dt.date(2026, 3, 2), [posting(74)])
+    daily.run_day(spark, lake, dt.date(2026, 3, 2), [source])
+
+    def rows():
+        kept = [spark.table(f"bronze.{source.table}"), spark.table(f"silver.{source.table}_dlq")]
+        return [df.where("ingest_date >= '2026-03-01'").count() for df in kept] + [
+            spark.read.json(f"{lake.quarantine}/topcv_jobs").where("month = '03'").count()
+        ]
+
+    first = daily.run_day(spark, lake, day, [source])
+    assert rows() == [4, 1, 1]
+    assert daily.run_day(spark, lake, day, [source]) == first
+    assert rows() == [4, 1, 1]
+    drop_file(root, "topcv", day, [posting(71)])
+    daily.run_day(spark, lake, day, [source])
+    assert rows()[0] == 2
+
+
+def test_search_exchanges_no_dimension(spark, sf_dir):
+    from postlake.registry.stage import StagedStar
+
+    star = StagedStar(spark, sf_dir)
+    expected = search(star, "data").collect()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = search(star, "data")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.collect() == expected and len(expected) == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 6
+    with pytest.raises(ValueError):
+        search(star, "data", limit=1_000_000)
