@@ -390,7 +390,7 @@ _FROM_STAR = {
     ),
     "dq_orphans_parts": " UNION ALL ".join(
         f"SELECT '{name}' AS check_name, {name} AS n FROM ("
-        + _orphans(child, f"(SELECT * FROM {dim} WHERE {key} < '8')", key, name, skip_nulls)
+        + _orphans(child, f"(SELECT * FROM {dim} WHERE {key} < '4')", key, name, skip_nulls)
         + ")"
         for child, dim, key, name, skip_nulls in (
             ("every_fact", "dim_company", "company_id", "orphaned_companies", True),
