@@ -11,7 +11,9 @@ repeated run, not a parameter.
 In an interval the earliest place, by (doc_id, line), is the original and the others are
 later copies.  All lines of later copies of at least ``min_lines`` lines are deleted:
 overlapping copies join to maximal runs.  Single lines (``min_lines=1``) can be asked for
-as well; the default asks for two, so that a line that merely recurs stays.
+as well; the default asks for two, so that a line that merely recurs stays.  With
+``worded=True`` every later copy of a line that has a word goes too, and lines without one
+go in longer runs only.
 
 Every round is DataFrame work: one join of places of a text, one count per pair of ranks
 (partly summed in each task, so a line that a third of all texts hold travels once from
@@ -42,26 +44,35 @@ def _same_place(left: str, right: str, shift: int) -> Column:
     )
 
 
-def _ranked(places: DataFrame, by: tuple[str, str]) -> DataFrame:
+def _ranked(places: DataFrame, by: tuple[str, str], *more: str) -> DataFrame:
     """Places whose pair ``by`` occurs at two places or more, with the rank of the pair and
-    the first place that holds it."""
+    the first place that holds it (and columns ``more``)."""
     place = F.struct(*_PLACE)
     pairs = places.groupBy(*by).agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = pairs.where(F.col("first") < F.col("last")).select(*by, "first")
     order = repeated.orderBy(*by).withColumn("rank", F.monotonically_increasing_id())
-    return places.join(order, list(by)).select(*_PLACE, "rank", "first")
+    return places.join(order, list(by)).select(*_PLACE, "rank", "first", *more)
 
 
-def suffix_rounds(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> list[DataFrame]:
-    """Round k: (doc, key, line, rank, first) of all runs of 2**k lines that repeat."""
-    lines = F.transform(
-        F.split(F.col(text), "\n", -1), lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))
-    )
+def has_word(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
+
+
+def suffix_rounds(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", worded: bool = False) -> list[DataFrame]:
+    """Round k: (doc, key, line, rank, first) of all runs of 2**k lines that repeat; with
+    ``worded`` round 0 tells whether the line has a word."""
+    more = ("worded",) if worded else ()
+
+    def of_line(x: Column) -> Column:
+        ids = (F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))
+        return F.struct(*ids, has_word(x).alias("worded")) if worded else F.struct(*ids)
+
+    lines = F.transform(F.split(F.col(text), "\n", -1), of_line)
     rows = docs.where(F.col(text).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc"), text_key(text).alias("key"), F.posexplode(lines).alias("line", "id")
     )
-    rows = rows.select("doc", "key", "line", "id.a", "id.b")
-    rounds = [staged(_ranked(rows, ("a", "b")).dropDuplicates(list(_PLACE)), "line-ranks")]
+    rows = rows.select("doc", "key", "line", "id.a", "id.b", *(f"id.{c}" for c in more))
+    rounds = [staged(_ranked(rows, ("a", "b"), *more).dropDuplicates(list(_PLACE)), "line-ranks")]
     while not rounds[-1].isEmpty():
         shift = 1 << (len(rounds) - 1)
         here = rounds[-1].select(*_PLACE, F.col("rank").alias("a")).alias("here")
@@ -71,14 +82,16 @@ def suffix_rounds(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return rounds[:-1]
 
 
-def copied_runs(rounds: list[DataFrame], min_lines: int = MIN_LINES) -> DataFrame | None:
+def copied_runs(rounds: list[DataFrame], min_lines: int = MIN_LINES, worded: bool = False) -> DataFrame | None:
     """(doc, key, start, stop, longest): maximal runs of deleted lines of each text, and the
     longest power of two for which so many lines of one run lie together at one earlier place."""
     least = (min_lines - 1).bit_length()
     if 1 << least != min_lines:
         raise ValueError("min_lines is a power of two")
     copies = None
-    for level, places in enumerate(rounds[least:], least):
+    longer = [*enumerate(rounds)][least:]
+    single = [(0, rounds[0].where("worded"))] if worded and least and rounds else []
+    for level, places in single + longer:
         later = places.where(F.struct(*_PLACE) != F.col("first")).select(*_PLACE, F.lit(1 << level).alias("lines"))
         copies = later if copies is None else copies.union(later)
     if copies is None:
@@ -94,14 +107,19 @@ def copied_runs(rounds: list[DataFrame], min_lines: int = MIN_LINES) -> DataFram
 
 
 def without_copied_runs(
-    docs: DataFrame, min_lines: int = MIN_LINES, doc_id: str = "doc_id", text: str = "text", out: str = "line_dedup"
+    docs: DataFrame,
+    min_lines: int = MIN_LINES,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    out: str = "line_dedup",
+    worded: bool = False,
 ) -> DataFrame:
     """``docs`` with a struct column ``out`` (in place of any of that name): n_lines, n_removed,
     n_runs, longest_copy and kept (the text without the deleted lines)."""
     lines = F.split(F.col(text), "\n", -1)
     total = F.coalesce(F.size(lines), F.lit(0))
     total = F.when(F.col(text).isNull(), 0).otherwise(total)
-    runs = copied_runs(suffix_rounds(docs, doc_id, text), min_lines)
+    runs = copied_runs(suffix_rounds(docs, doc_id, text, worded), min_lines, worded)
     if runs is None:
         none = F.lit(0)
         parts = F.struct(
