@@ -13,8 +13,12 @@ as every window there is looked up by itself, windows that straddle two factors
 too, and a factor is never shorter than a window.  Words covered by factors are duplicates.
 
 Each task first resolves its own rows: of equal windows only those of the smallest doc_id
-go on to the exchange, so a passage that a third of all documents share reaches a block
-once from each task.  Windows are compared by 112 hashed bits.
+go on to the exchange, so a passage of a window or more that a third of all documents
+share reaches a block once from each chunk.  A shorter run that many share is the anchor of
+windows that all differ.  So windows are first counted by slices of anchors (partly summed
+in each task), and those of a slice with far more than its share are dealt out by their own
+hash as well: equal windows still meet, and the rest of the group is split over all blocks.
+Windows are compared by 112 hashed bits.
 
 Rows: null texts have no words; texts shorter than a window are kept whole; rows with a
 null doc_id are neither compared nor changed; rows of one doc_id are not copies of each
@@ -30,13 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import batches, in_python, partitions_of, span_hashes, text_key, text_of, word_hashes
+from postlake.llm.common import batches, in_python, mixed, partitions_of, span_hashes, staged, text_key, text_of, word_hashes
 
 WINDOW = 50
 ANCHOR = 10
 CHUNK_WORDS = 400_000
 """Words a task resolves at once before the exchange."""
 BLOCKS_PER_PARTITION = 4
+SLICES_PER_BLOCK = 64
+HOT_WINDOWS = 20_000
+"""Slices of anchors with fewer windows are never split."""
 _FACTOR = "doc_id long, key int, start int, windows int, ref_doc long, ref_start int"
 _RUN = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("key", "<i4"), ("start", "<i4"), ("count", "<i4")])
 _DONE = np.dtype([("doc", "<i8"), ("key", "<i4"), ("start", "<i4"), ("count", "<i4"), ("ref", "<i8"), ("ref_start", "<i4")])
@@ -98,9 +105,14 @@ def _factors(doc, key, start, ref, ref_start) -> np.ndarray:
     return out
 
 
-def _sent(blocks: int, ids: np.ndarray, keys: np.ndarray, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+def _slice(anchor: np.ndarray, slices: int) -> np.ndarray:
+    return (anchor % np.uint64(slices)).astype(np.int64)
+
+
+def _sent(blocks: int, hot: np.ndarray, ids: np.ndarray, keys: np.ndarray, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
     """What a chunk of documents sends to each block: runs of unresolved windows and their
-    hashes, and the factors that the chunk could already make."""
+    hashes, and the factors that the chunk could already make.  ``hot`` tells for each slice
+    of anchors whether its windows are dealt out one by one."""
     which, start, anchor, code = _windows(texts)
     if not len(which):
         return
@@ -111,13 +123,15 @@ def _sent(blocks: int, ids: np.ndarray, keys: np.ndarray, texts: list[bytes]) ->
     left = np.flatnonzero(~found)
     which, start, anchor, code = which[left], start[left], anchor[left], code[left]
     cut = np.ones(len(left), dtype=bool)
-    cut[1:] = (which[1:] != which[:-1]) | (start[1:] != start[:-1] + 1) | (anchor[1:] != anchor[:-1])
+    spread = hot[_slice(anchor, len(hot))]
+    route = np.where(spread, mixed(anchor ^ code), anchor)
+    cut[1:] = (which[1:] != which[:-1]) | (start[1:] != start[:-1] + 1) | (anchor[1:] != anchor[:-1]) | spread[1:] | spread[:-1]
     begin = np.flatnonzero(cut)
     runs = np.zeros(len(begin), dtype=_RUN)
     for name, column in (("anchor", anchor), ("doc", ids[which]), ("key", keys[which]), ("start", start)):
         runs[name] = column[begin]
     runs["count"] = np.diff(np.append(begin, len(left)))
-    block = (runs["anchor"] % np.uint64(blocks)).astype(np.int64)
+    block = (route[begin] % np.uint64(blocks)).astype(np.int64)
     by_block = np.argsort(block, kind="stable")
     of_window = np.argsort(np.repeat(block, runs["count"]), kind="stable")
     codes = code[of_window].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
@@ -159,10 +173,33 @@ def _factored(runs: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return _factors(doc[found], key[found], start[found], ref[found], ref_start[found])
 
 
-def factors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, key (of the text, for rows of one doc_id), start, windows, ref_doc, ref_start:
-    ``windows`` windows from word ``start`` on lie in document ``ref_doc`` < doc_id."""
+def _hot(rows: DataFrame, slices: int, blocks: int) -> np.ndarray:
+    """Slices of anchors with more than an eighth of a block's share of all windows: at most
+    eight for each block."""
+
+    def count(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(slices, dtype=np.int64)
+        for batch in batches(found):
+            seen += np.bincount(_slice(_windows(batch["text"].to_pylist())[2], slices), minlength=slices)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], ["slice", "n"])
+
+    counts = in_python(rows.select("text"), count, "slice int, n long").groupBy("slice").agg(F.sum("n").alias("n"))
+    counts = staged(counts, "anchor-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    many = counts.where(F.col("n") > max(HOT_WINDOWS, total // (8 * blocks))).select("slice").collect()
+    out = np.zeros(slices, dtype=bool)
+    out[[r["slice"] for r in many]] = True
+    return out
+
+
+def dealt(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(block, runs, codes, done): what each chunk of documents sends to each block."""
     blocks = BLOCKS_PER_PARTITION * partitions_of(docs.sparkSession)
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), _key(text).alias("key"), text_of(text).alias("text")
+    ).where(F.col("doc_id").isNotNull())
+    hot = _hot(rows, SLICES_PER_BLOCK * blocks, blocks)
 
     def send(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, texts, size = [], [], [], 0
@@ -173,10 +210,17 @@ def factors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             texts += more
             size += sum(map(len, more))
             if size >= 6 * CHUNK_WORDS:
-                yield from _sent(blocks, np.concatenate(ids), np.concatenate(keys), texts)
+                yield from _sent(blocks, hot, np.concatenate(ids), np.concatenate(keys), texts)
                 ids, keys, texts, size = [], [], [], 0
         if texts:
-            yield from _sent(blocks, np.concatenate(ids), np.concatenate(keys), texts)
+            yield from _sent(blocks, hot, np.concatenate(ids), np.concatenate(keys), texts)
+
+    return in_python(rows, send, "block int, runs binary, codes binary, done binary")
+
+
+def factors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, key (of the text, for rows of one doc_id), start, windows, ref_doc, ref_start:
+    ``windows`` windows from word ``start`` on lie in document ``ref_doc`` < doc_id."""
 
     def factor(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, runs, codes = None, [], []
@@ -193,12 +237,8 @@ def factors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         if runs:
             yield _table(_factored(np.concatenate(runs), np.concatenate(codes)))
 
-    rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), _key(text).alias("key"), text_of(text).alias("text")
-    ).where(F.col("doc_id").isNotNull())
-    sent = in_python(rows, send, "block int, runs binary, codes binary, done binary")
-    dealt = sent.repartition(partitions_of(docs.sparkSession), "block").sortWithinPartitions("block")
-    return in_python(dealt, factor, _FACTOR)
+    sent = dealt(docs, doc_id, text).repartition(partitions_of(docs.sparkSession), "block")
+    return in_python(sent.sortWithinPartitions("block"), factor, _FACTOR)
 
 
 def _key(text: str):
