@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,19 +12,22 @@ from postlake.llm import (
     chunked_bpe,
     curriculum,
     language,
+    lattice,
     line_runs,
     lz_dedup,
     rule_ledger,
     secret_scan,
     simhash,
+    spellings,
     syncmers,
+    token_align,
     token_files,
 )
 from postlake.llm.common import documents
 
-TOKENIZERS = "/opt/tokenizers"
-BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +84,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.aligned(documents(spark, sf_dir), BYTE_BPE, PIECE_BPE)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(spellings.vocabulary(documents(spark, sf_dir), slips=97))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -93,6 +109,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe_round_trip,
         op9_substring_dedup,
         op10_quality_rules,
+        op11_embedding_near_dedup,
+        op12_token_alignment,
+        op13_spelling_variants,
     )
 }
-ORACLES: dict[str, str] = {"op3_line_dedup": line_runs.oracle()}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": line_runs.oracle(),
+    "op11_embedding_near_dedup": lattice.oracle(),
+}

@@ -59,7 +59,7 @@ def rows_of(spark, sf_dir, name):
 
 def test_one_query_for_each_operator():
     names = [n for n in driver.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in driver.queries()
 
 
