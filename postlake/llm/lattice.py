@@ -144,7 +144,7 @@ def _cells(nodes: DataFrame, tables: int) -> DataFrame:
                     mine = np.flatnonzero(sizes == size)
                     vectors = flat[at[mine][:, None] + np.arange(size)]
                     y = projected(_unit(vectors), tables)
-                    packed = pa.array([v.tobytes() for v in vectors.astype(np.float64)], pa.binary())
+                    packed = pa.array([v.tobytes() for v in vectors], pa.binary())
                     places = pa.array([v.tobytes() for v in y.astype(np.float32)], pa.binary())
                     own = batch.take(pa.array(mine))
                     for turn in range(tables):
@@ -174,7 +174,8 @@ def _blocks(cells: DataFrame, block: int) -> DataFrame:
     round.  ``member`` and ``probe`` say as what it comes."""
     key = ["space", "turn", "cell"]
     sizes = cells.groupBy(*key).agg(F.count_if("home").alias("members"), F.count(F.lit(1)).alias("probes"))
-    large = sizes.where(F.col("probes") > block)
+    # Written, so that its size is known: a small list is broadcast, and nothing else moves for it.
+    large = staged(sizes.where(F.col("probes") > block), "large-cells")
     cut = cells.join(large, key, "left").withColumns(
         {name: F.greatest(F.ceil(F.coalesce(F.col(size), F.lit(0)) / block), F.lit(1)).cast("int")
          for name, size in (("ni", "members"), ("nj", "probes"))}
@@ -190,7 +191,7 @@ def _blocks(cells: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _compared(rows: list[pa.RecordBatch], turn: int, at_least: float, tables: int) -> pa.RecordBatch | None:
+def _compared(rows: list[pa.RecordBatch], turn: int, at_least: float, tables: int, kind: str) -> pa.RecordBatch | None:
     """Links of one block of a cell: node, n (vectors it is linked with here), other (the least
     node of its class here)."""
     table = pa.Table.from_batches(rows)
@@ -198,7 +199,7 @@ def _compared(rows: list[pa.RecordBatch], turn: int, at_least: float, tables: in
     member, probe = (np.flatnonzero(table[c].to_numpy(zero_copy_only=False)) for c in ("member", "probe"))
     if len(member) == 0 or len(node) < 2:
         return None
-    vectors = np.frombuffer(b"".join(table["vec"].to_pylist()), dtype=np.float64).reshape(len(node), -1)
+    vectors = np.frombuffer(b"".join(table["vec"].to_pylist()), dtype=kind).reshape(len(node), -1).astype(np.float64)
     y = np.frombuffer(b"".join(table["y"].to_pylist()), dtype=np.float32).reshape(len(node), tables, 8).astype(np.float64)
     home = np.stack([lattice_point(y[:, t]) for t in range(tables)], axis=1)
     x = vectors / np.abs(vectors).max(axis=1)[:, None]
@@ -252,6 +253,7 @@ def _links(nodes: DataFrame, at_least: float, tables: int, block: int) -> DataFr
     """node, n and other of every block: see ``_compared``.
 
     The rows of one node that stand in a block as member and as probe are one row."""
+    kind = "<f4" if dict(nodes.dtypes)["vec"] == "array<float>" else "<f8"
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -267,12 +269,12 @@ def _links(nodes: DataFrame, at_least: float, tables: int, block: int) -> DataFr
             for start, end in zip(edges, edges[1:], strict=False):
                 here = tuple(int(c[start]) for c in columns)
                 if held and here != key:
-                    if (out := _compared(held, key[1], at_least, tables)) is not None:
+                    if (out := _compared(held, key[1], at_least, tables, kind)) is not None:
                         yield out
                     held = []
                 key = here
                 held.append(batch.slice(start, end - start))
-        if held and (out := _compared(held, key[1], at_least, tables)) is not None:
+        if held and (out := _compared(held, key[1], at_least, tables, kind)) is not None:
             yield out
 
     rows = _blocks(_cells(nodes, tables), block)
@@ -285,7 +287,9 @@ def near_vectors(
     embedding: str = "embedding", tables: int = TABLES, block: int = BLOCK,
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector."""
-    vec = F.col(embedding).cast("array<double>")
+    vec = F.col(embedding)
+    if dict(table.dtypes)[embedding] != "array<float>":
+        vec = vec.cast("array<double>")
     rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).alias("label"), vec.alias("vec"))
     space = F.xxhash64("label", F.size("vec"))
     linkable = F.col("label").isNotNull() & _linkable(F.col("vec"))
