@@ -24,21 +24,23 @@ from pyspark.sql import functions as F
 _OLD, _NEW, _CHANGED, _NTH = "_is_old", "_is_new", "_changed", "_nth"
 
 
-def require_unique(source: DataFrame, key: str) -> DataFrame:
+def require_unique(source: DataFrame, key: str, within: Sequence[str] = ()) -> DataFrame:
     """Fail the query if a key comes twice, as MERGE does.
 
     The check rides on the hash partitioning by key that the upsert join needs
-    anyway, and streams: no group is held in memory.
+    anyway, and streams: no group is held in memory.  ``within`` names columns that the
+    key determines; rows that lie by them already are not exchanged again.
     """
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    nth = F.row_number().over(Window.partitionBy(*within, key).orderBy(key))
     clash = F.raise_error(F.concat(F.lit(f"duplicate {key} in upsert source: "), F.col(key)))
     checked = source.withColumn(_NTH, nth)
     return checked.filter(F.when(F.col(_NTH) == 1, True).otherwise(clash.cast("boolean"))).drop(_NTH)
 
 
-def new_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Source rows whose key the target lacks."""
-    return source.join(target.select(key), key, "left_anti")
+def new_rows(target: DataFrame, source: DataFrame, key: str, within: Sequence[str] = ()) -> DataFrame:
+    """Source rows whose key the target lacks; ``within`` as in ``require_unique``."""
+    keys = [*within, key]
+    return source.join(target.select(*keys), keys, "left_anti")
 
 
 def upsert(
@@ -50,9 +52,11 @@ def upsert(
     guard: Sequence[str] = (),
     keep: Sequence[str] = (),
     insert_only: bool = False,
+    mark: str | None = None,
 ) -> DataFrame:
     """The whole target after the upsert: one full outer join on the key, in which a target
-    bucketed by the key needs no exchange.
+    bucketed by the key needs no exchange.  ``mark`` names a column to say which rows were
+    inserted or updated.
     """
     unknown = sorted(set(source.columns) - set(target.columns))
     if unknown:
@@ -60,6 +64,8 @@ def upsert(
     source = require_unique(source, key)
     if insert_only:
         fresh = new_rows(target, source, key)
+        if mark:
+            target, fresh = target.withColumn(mark, F.lit(False)), fresh.withColumn(mark, F.lit(True))
         return target.unionByName(fresh, allowMissingColumns=True)
 
     old = target.withColumn(_OLD, F.lit(True)).alias("t")
@@ -69,7 +75,8 @@ def upsert(
     # Decided once per row, in a projection of its own, not once per column.
     decided = joined.withColumn(_CHANGED, _changed([c for c in guard if c in source.columns]))
     return decided.select(
-        *(_merged(c, key, source.columns, set_null, keep).alias(c) for c in target.columns)
+        *(_merged(c, key, source.columns, set_null, keep).alias(c) for c in target.columns),
+        *([(F.col(_OLD).isNull() | F.col(_CHANGED)).alias(mark)] if mark else []),
     )
 
 

@@ -143,6 +143,7 @@ def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) ->
             row_level=lake.row_level,
             partition_ts="ingested_at",
             buckets=lake.buckets,
+            feed_ts="updated_at",
             guard=silver_plan.GUARD,
             keep=silver_plan.KEEP,
         )
@@ -213,6 +214,8 @@ def run_gold(
         links,
         lake.table("gold", "bridge_job_skills"),
         "bridge_id",
+        by="job_id",
+        buckets=lake.buckets,
         row_level=lake.row_level,
     )
     return True

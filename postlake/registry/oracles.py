@@ -461,6 +461,17 @@ _FROM_TABLES = {
     ),
 }
 
+_DATED = "(SELECT *, DATE '{day}' AS changed_on FROM {table})"
+_FROM_STAR["src_changed_day"] = _upserted(
+    _DATED.format(day="2024-01-15", table="silver"),
+    _DATED.format(day="2024-01-16", table="update_batch"),
+    "job_id",
+    [
+        (c, f"CASE WHEN {_CHANGED} THEN coalesce(s.{c}, t.{c}) ELSE t.{c} END")
+        for c in ("job_category", "company_industry", "changed_on")
+    ],
+)
+
 # Tables written twice hold what the plain joins give.
 _FROM_STAR["snk_upsert_table"] = _FROM_STAR["ups_guarded"]
 _FROM_STAR["snk_append_new"] = _FROM_STAR["ups_insert_only"]

@@ -17,9 +17,11 @@ from postlake.plans import daily, gold, quality, serving
 from postlake.plans import silver as silver_plan
 from postlake.plans.serving import Star
 from postlake.registry import stage
+from postlake.sinks import keyed
 from postlake.sinks import tables as sinks
 from postlake.sources.landing import read_json_lines, write_landing
 from postlake.sources.registry import get_source
+from postlake.sources.tables import read_changed_day
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -318,7 +320,30 @@ def snk_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
 
     stage.once(stage.staging_path(spark, sf_dir, "upserted"), run)
-    return _joined(spark.table(table), "skills_array")
+    return _joined(spark.table(table).drop(keyed.KEY_PARTITION), "skills_array")
+
+
+def src_changed_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver loaded on one day and the later batch on the next: what changed on each, by the
+    change feed."""
+    table, next_day = _lake(spark, sf_dir).table("silver", "changing"), DAY + dt.timedelta(days=1)
+
+    def run() -> None:
+        for rows, day in ((stage.silver(spark, sf_dir), DAY), (_update_batch(spark, sf_dir), next_day)):
+            stamped = rows.withColumn("updated_at", F.lit(f"{day} 06:00:00").cast("timestamp"))
+            sinks.upsert_table(
+                stamped, table, "job_id", buckets=8, feed_ts="updated_at", guard=silver_plan.GUARD,
+                keep=silver_plan.KEEP,
+            )
+
+    stage.once(stage.staging_path(spark, sf_dir, "changing"), run)
+    found = [
+        read_changed_day(spark, table, day).select(
+            "job_id", "job_category", "company_industry", F.to_date("updated_at").alias("changed_on")
+        )
+        for day in (DAY, next_day)
+    ]
+    return columns.union_by_name(found)
 
 
 def snk_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,10 +352,11 @@ def snk_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run() -> None:
         for rows in (stage.silver(spark, sf_dir), _update_batch(spark, sf_dir)):
-            sinks.append_new(gold.bridge_job_skills(rows, one_row_per_job=True), table, "bridge_id")
+            links = gold.bridge_job_skills(rows, one_row_per_job=True)
+            sinks.append_new(links, table, "bridge_id", by="job_id", buckets=8)
 
     stage.once(stage.staging_path(spark, sf_dir, "links"), run)
-    return spark.table(table)
+    return spark.table(table).drop(keyed.KEY_PARTITION)
 
 
 # --- serving and quality -------------------------------------------------------------------------
@@ -452,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "run_day_counts": run_day_counts,
     "snk_upsert_table": snk_upsert_table,
     "snk_append_new": snk_append_new,
+    "src_changed_day": src_changed_day,
     "snk_dlq_rows": snk_dlq_rows,
     "snk_retention": snk_retention,
     "flt_day_slice": flt_day_slice,

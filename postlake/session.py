@@ -23,6 +23,8 @@ SQL_SETTINGS = {
     # Split a hot join key even when it costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A stored table bucketed by some of the join keys is joined where it lies.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # The JVM never compiles a method of more than 8000 bytes of bytecode.  The
     # long CASE chains here would run interpreted; above this limit Spark uses
     # its other code generator, which splits expressions into small methods.
@@ -74,11 +76,16 @@ def staging_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write the rows to the staging folder and read them back.
+def store(df: DataFrame, name: str, *partitions: str) -> str:
+    """Write the rows to a new path in the staging folder.
 
     They are left there; the folder is scratch space with an expiry rule.
     """
     path = f"{staging_root(df.sparkSession)}/batches/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write the rows to the staging folder and read them back."""
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, name))

@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postlake.sinks.keyed import KEY_PARTITION
 from postlake.sources.tables import read_table
 
 log = logging.getLogger(__name__)
@@ -89,7 +90,7 @@ def publish_table(
     df = read_table(spark, source)
     if df is None:
         return False
-    write_side_table(df, table, url, properties)
+    write_side_table(df.drop(KEY_PARTITION), table, url, properties)
     swap_in(lambda: open_connection(spark, url, properties), table)
     return True
 

@@ -3,9 +3,9 @@
 Two kinds of catalog are served with Spark's own commands:
 
 * one with row-level operations (a V2 table format): native MERGE;
-* plain Spark tables: an upserted table is written whole as a new version next
-  to the old one, and a view of the table's name is switched to it.  Readers
-  never see a half-written table and a lost driver leaves the old version.
+* plain Spark tables: keyed tables that rewrite the parts a batch touches (``keyed``); a
+  table without a key is written whole as a new version next to the old one, and a view
+  of the table's name is switched to it (``publish_version``).
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from postlake.functions import terms
 from postlake.operators.filters import DAY_PARTITION, has_rows
-from postlake.operators.upsert import new_rows, require_unique, upsert
+from postlake.operators.upsert import new_rows, require_unique
+from postlake.sinks import keyed
 
 NAMESPACES = ("sandbox", "bronze", "silver", "gold")
 
@@ -177,24 +178,19 @@ def upsert_table(
     row_level: bool = False,
     partition_ts: str | None = None,
     buckets: int | None = None,
+    feed_ts: str | None = None,
     **rule,
 ) -> None:
-    """Upsert into a table, creating it on the first run (UPS-5)."""
-    spark = source.sparkSession
-    exists = spark.catalog.tableExists(table)
-    if row_level:
-        if exists:
-            native_merge(source, table, key, **rule)
-        else:
-            append_or_create(require_unique(source, key), table, partition_ts, row_level=True)
-        return
-    if not exists:
-        first = require_unique(source, key)
-        publish_version(first, table, bucket_by=key, buckets=buckets, hashed=True)
-        return
-    target = spark.table(table)
-    merged = upsert(target, source, key, **rule)
-    publish_version(merged, table, bucket_by=key, buckets=buckets, hashed=True)
+    """Upsert into a table, creating it on the first run (UPS-5).
+
+    ``feed_ts``: see ``keyed.upsert_keyed``; a table format with MERGE prunes by its own statistics.
+    """
+    if not row_level:
+        keyed.upsert_keyed(source, table, key, parts=buckets, feed_ts=feed_ts, **rule)
+    elif source.sparkSession.catalog.tableExists(table):
+        native_merge(source, table, key, **rule)
+    else:
+        append_or_create(require_unique(source, key), table, partition_ts, row_level=True)
 
 
 def append_new(
@@ -202,9 +198,17 @@ def append_new(
     table: str,
     key: str,
     *,
+    by: str | None = None,
+    buckets: int | None = None,
     row_level: bool = False,
 ) -> None:
-    """Insert-only upsert (UPS-4): known rows are never rewritten, new ones are appended."""
+    """Insert-only upsert (UPS-4): known rows are never rewritten, new ones are appended.
+
+    ``by`` lays a plain table out by another column, next to a table keyed by it.
+    """
+    if by and not row_level:
+        keyed.append_keyed(source, table, key, by, parts=buckets)
+        return
     spark = source.sparkSession
     source = require_unique(source, key)
     if spark.catalog.tableExists(table):
@@ -225,8 +229,8 @@ def expired_days(days: Iterable[str], as_of: dt.date, keep_days: int) -> list[st
 
 def drop_expired(spark: SparkSession, table: str, as_of: dt.date, keep_days: int = 30) -> list[str]:
     """SNK-8 on a day-partitioned table: whole partitions go, no row is rewritten."""
-    listed = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    gone = expired_days(listed, as_of, keep_days)
+    shown = (dict(part.split("=", 1) for part in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    gone = expired_days({part[DAY_PARTITION] for part in shown}, as_of, keep_days)
     if gone:
         parts = ", ".join(f"PARTITION ({DAY_PARTITION} = '{day}')" for day in gone)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
