@@ -62,13 +62,10 @@ def split_required(
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """FLT-2: (parsed rows without the corrupt column, unparsable rows).
 
-    Which lines are corrupt depends on the columns that are parsed, and a JSON source refuses
-    to parse none.  Both halves therefore read every column (the condition on their hash
-    always holds), so they can be counted and projected freely and always agree.
+    Of rows that were parsed whole (``sources.landing.whole_rows``), so both halves agree.
     """
-    whole = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns if c != CORRUPT)), F.lit(2)) < 2
     broken = F.col(CORRUPT).isNotNull()
-    return df.filter(~broken & whole).drop(CORRUPT), df.filter(broken & whole)
+    return df.filter(~broken).drop(CORRUPT), df.filter(broken)
 
 
 def named(df: DataFrame, key: str, *, no_blanks: bool = False) -> DataFrame:

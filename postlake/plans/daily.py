@@ -1,9 +1,8 @@
 """The daily run: landing -> bronze -> silver -> gold -> serving.
 
-Every step can be rerun.  Bronze, quarantine and rejects of a day are replaced, silver
-and gold are keyed upserts; the batch between
-them is a table in the shared staging folder, so that its several readers do
-not compute it again and a lost executor costs one task.
+Every step can be rerun.  Bronze and quarantine of a load and the rejects of a day are replaced,
+silver and gold are keyed upserts; the batch between them is a table in the shared staging
+folder, so that its several readers do not compute it again and a lost executor costs one task.
 """
 
 from __future__ import annotations
@@ -17,10 +16,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.operators.columns import with_audit
-from postlake.operators.filters import CORRUPT, all_present, has_rows, split_corrupt
+from postlake.operators.filters import CORRUPT, has_rows, split_corrupt
 from postlake.plans import gold
 from postlake.plans import silver as silver_plan
 from postlake.session import stored
+from postlake.sinks import ledger
 from postlake.sinks import tables as sinks
 from postlake.sources.landing import day_path, read_landing
 from postlake.sources.registry import SOURCES, Source
@@ -62,35 +62,44 @@ def write_bronze(
     landed: DataFrame,
     lake: Lake,
     source: str,
-    day: dt.date,
+    load: str,
+    aside: str,
     ingested_at: Column | None = None,
-    *,
-    replace: bool = False,
 ) -> dict[str, int]:
-    """Append parsed rows, set unparsable lines aside; how many there were of each.
+    """Make the parsed rows the rows of a load, set its unparsable lines aside; how many of each.
 
-    ``replace`` puts them in the place of the days they fall in, so that a rerun does not
-    double them.  It is for a landing folder that holds all rows of its day; a stream appends.
-    Bad lines are counted while the good rows are written, so a clean file is
-    parsed once; only a file with bad lines is read a second time.
+    ``landed`` says which file a row is from: files of other loads are passed over.  Bad lines
+    and files are noted while the good rows are written, so a clean file is parsed once; only
+    a file with bad lines is read a second time.
     """
-    aside = f"{day_path(f'{lake.quarantine}/{source}_jobs', day)}/"
-    good, bad = split_corrupt(landed)
+    spark, table = landed.sparkSession, lake.table("bronze", f"{source}_jobs")
+    fresh = ledger.not_taken(landed, table, load)
+    good, bad = split_corrupt(fresh)
     if not has_rows(good):
-        log.warning("no valid rows for %s on %s", source, day)
-        return {"valid": 0, "corrupt": sinks.write_quarantine(bad, aside, replace=replace)}
+        log.warning("no valid rows for %s in %s", source, load)
+        if spark.catalog.tableExists(table) and not lake.row_level:
+            ledger.drop_load(spark, table, load)
+        return {"valid": 0, "corrupt": sinks.write_quarantine(_lines(bad), aside, replace=True)}
     counts = Observation()
     broken = F.col(CORRUPT).isNotNull()
-    counted = landed.observe(
-        counts, F.count_if(~broken).alias("valid"), F.count_if(broken).alias("corrupt")
+    counted = fresh.observe(
+        counts, F.count_if(~broken).alias("valid"), F.count_if(broken).alias("corrupt"), ledger.taken_files()
     )
-    rows = with_audit(split_corrupt(counted)[0], source, ingested_at)
-    table = lake.table("bronze", f"{source}_jobs")
-    sinks.append_or_create(rows, table, "ingested_at", row_level=lake.row_level, replace=replace)
-    if counts.get["corrupt"]:
-        log.warning("%s: %s corrupt lines set aside", source, counts.get["corrupt"])
-        sinks.write_quarantine(bad, aside, replace=replace)
-    return counts.get
+    rows = with_audit(split_corrupt(counted)[0].drop(ledger.FILE, ledger.MODIFIED), source, ingested_at)
+    ledger.put_load(rows, table, "ingested_at", load, row_level=lake.row_level)
+    found = counts.get
+    if found["corrupt"]:
+        log.warning("%s: %s corrupt lines set aside", source, found["corrupt"])
+        sinks.write_quarantine(_lines(bad), aside, replace=True)
+    else:  # an earlier attempt may have had some
+        none = spark.createDataFrame([], f"{CORRUPT} string")
+        sinks.write_quarantine(none, aside, replace=True)
+    ledger.record(spark, table, load, found["files"])
+    return {name: found[name] for name in ("valid", "corrupt")}
+
+
+def _lines(bad: DataFrame) -> DataFrame:
+    return bad.drop(ledger.FILE, ledger.MODIFIED)
 
 
 def run_time(day: dt.date) -> Column:
@@ -107,9 +116,12 @@ def run_bronze(
     day: dt.date,
     ingested_at: Column | None = None,
 ) -> dict[str, int]:
-    landed = read_landing(spark, lake.landing, source.name, day, lake.schema_dir)
+    """The day's landing files that no other load has taken; a rerun replaces its own rows."""
+    landed = read_landing(spark, lake.landing, source.name, day, lake.schema_dir, files=True)
     stamp = run_time(day) if ingested_at is None else ingested_at
-    return write_bronze(landed, lake, source.name, day, stamp, replace=True)
+    load = f"day-{day.isoformat()}"
+    aside = f"{day_path(f'{lake.quarantine}/{source.name}_jobs', day)}/load={load}"
+    return write_bronze(landed, lake, source.name, load, aside, stamp)
 
 
 # --- silver ---------------------------------------------------------------------------
@@ -118,23 +130,21 @@ def run_bronze(
 def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) -> dict[str, object]:
     """Standardize one day of a source's bronze rows and upsert them.  Returns AGG-5.
 
-    Rows and complete rows are counted in a scan of the required columns without an
-    exchange.  They are not observed on the way to the batch: there they would pass an
-    exchange, and a map task that is run again after a lost executor counts twice.
+    One scan of bronze splits the day (``split_stored``); both halves and all counts are read
+    from what it wrote, so a task that runs twice counts once.
     """
     bronze = read_day(
         spark, lake.table("bronze", source.table), day, to_the_second=lake.compat
     )
     conformed = silver_plan.conform_source(bronze, source.name, source.renames)
-    complete = silver_plan.complete_postings(conformed, dedup_first=lake.compat)
-    rejected = silver_plan.rejected_postings(conformed, dedup_first=lake.compat)
-
-    batch = stored(silver_plan.with_updated_at(complete), source.table)
+    if lake.compat:
+        conformed = silver_plan.one_per_posting(conformed)
+    complete, rejected = silver_plan.split_stored(conformed, source.table)
+    total, rejects = (bronze if lake.compat else complete).count(), rejected.count()
+    if not lake.compat:
+        total += rejects
+    batch = stored(silver_plan.with_updated_at(silver_plan.latest_postings(complete)), source.table)
     kept = batch.count()
-    counted = conformed.agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(~all_present(conformed)).alias("rejects")
-    )
-    total, rejects = counted.first()
     if kept:
         sinks.upsert_table(
             batch,
@@ -147,14 +157,13 @@ def run_silver(spark: SparkSession, lake: Lake, source: Source, day: dt.date) ->
             guard=silver_plan.GUARD,
             keep=silver_plan.KEEP,
         )
+    dlq = lake.table("silver", f"{source.table}_dlq")
     if rejects:
         sinks.write_rejects(
-            rejected,
-            lake.table("silver", f"{source.table}_dlq"),
-            "ingested_at",
-            row_level=lake.row_level,
-            replace=True,
+            silver_plan.to_silver(rejected), dlq, "ingested_at", row_level=lake.row_level, replace=True
         )
+    elif spark.catalog.tableExists(dlq):
+        sinks.clear_day(spark, dlq, day, row_level=lake.row_level)
     return {
         "source": source.name,
         "run_date": day.isoformat(),

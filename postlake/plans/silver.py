@@ -11,6 +11,7 @@ from postlake.operators import columns
 from postlake.operators import standardize as std
 from postlake.operators.filters import all_present, split_required
 from postlake.operators.ranking import first_per_key, latest_first
+from postlake.session import store
 
 # --- Fixed values: silver columns, in order; text unless named below ------------
 SILVER_COLUMNS = (
@@ -32,6 +33,8 @@ GUARD = (
 )
 KEEP = ("source", "ingested_at")
 
+_COMPLETE = "_complete"
+
 
 def conform_source(
     df: DataFrame, source: str, renames: Mapping[str, str] | None = None
@@ -70,7 +73,7 @@ def complete_postings(
     """
     if dedup_first:
         return to_silver(split_required(one_per_posting(conformed, tie_breaks))[0])
-    return to_silver(one_per_posting(split_required(conformed)[0], tie_breaks))
+    return latest_postings(split_required(conformed)[0], tie_breaks)
 
 
 def rejected_postings(
@@ -81,6 +84,24 @@ def rejected_postings(
     return to_silver(split_required(rows)[1])
 
 
+def split_stored(conformed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """FLT-3 in one pass: (complete rows, rows lacking a required field), both written by one
+    job below a flag partition and read back.
+
+    Counting a half reads the footers of its files: what was written, not what was attempted.
+    """
+    spark = conformed.sparkSession
+    flagged = conformed.withColumn(_COMPLETE, F.coalesce(all_present(conformed), F.lit(False)))
+    path = store(flagged, name, _COMPLETE)
+    halves = spark.read.schema(flagged.schema).parquet(path)
+    return tuple(halves.where(F.col(_COMPLETE) == flag).drop(_COMPLETE) for flag in (True, False))
+
+
+def latest_postings(complete: DataFrame, tie_breaks: Sequence[str] = ()) -> DataFrame:
+    """Silver rows of complete rows: one per posting, then standardized."""
+    return to_silver(one_per_posting(complete, tie_breaks))
+
+
 def metrics_input(conformed: DataFrame) -> DataFrame:
     """The two columns the batch metrics need."""
     keyed = std.generate_job_id(conformed)

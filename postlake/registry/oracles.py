@@ -461,6 +461,10 @@ _FROM_TABLES = {
     ),
 }
 
+_FROM_STAR["run_day_and_stream"] = """SELECT job_title, company_name, place, salary, job_url,
+    CASE WHEN posting_key % 2 = 0 THEN 'files' ELSE 'day' END AS brought_by FROM raw"""
+_FROM_STAR["snk_split_write"] = "SELECT complete, source, count(*) AS n FROM std GROUP BY complete, source"
+
 _DATED = "(SELECT *, DATE '{day}' AS changed_on FROM {table})"
 _FROM_STAR["src_changed_day"] = _upserted(
     _DATED.format(day="2024-01-15", table="silver"),

@@ -19,9 +19,10 @@ from postlake.plans.serving import Star
 from postlake.registry import stage
 from postlake.sinks import keyed
 from postlake.sinks import tables as sinks
-from postlake.sources.landing import read_json_lines, write_landing
+from postlake.sources.landing import day_path, read_json_lines, write_landing
 from postlake.sources.registry import get_source
 from postlake.sources.tables import read_changed_day
+from postlake.streaming.landing import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +124,50 @@ def run_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_postings(spark, sf_dir).select(
+        "posting_key", "job_title", "company_name", "place", "salary", "experience", "level", "deadline",
+        "job_url", F.col("company_industry").alias("industry"),
+    )
+
+
+def run_day_and_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day fed by a stream and a daily run: some files arrive before the stream, the others
+    after it.  The stream's batch is then tried again, a stream without a checkpoint reads the whole
+    folder, and the daily run runs twice: rows of bronze with the kind of load that brought them."""
+    root = stage.staging_path(spark, sf_dir, "shared_day")
+    source, at = get_source("careerviet"), F.lit(f"{DAY} 05:00:00").cast("timestamp")
+    prefix = f"{_lake(spark, sf_dir).prefix}shared_"
+    shared = daily.Lake(f"{root}/landing", f"{root}/quarantine", buckets=8, prefix=prefix)
+    sinks.create_namespaces(spark, f"{root}/tables", prefix=shared.prefix)
+
+    def land(even: bool, mode: str) -> None:
+        rows = _landing_rows(spark, sf_dir).where((F.col("posting_key") % 2 == 0) == even).drop("posting_key")
+        path = f"{day_path(shared.landing, DAY)}/{source.name}_jobs.json"
+        rows.write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+    def run() -> None:
+        land(True, "overwrite")
+        ingest_available(spark, shared, source, f"{root}/checkpoint", at).awaitTermination()
+        land(False, "append")
+        for _ in range(2):
+            daily.run_bronze(spark, shared, source, DAY, at)
+        ingest_available(spark, shared, source, f"{root}/another", at).awaitTermination()
+
+    stage.once(root, run)
+    bronze = spark.table(shared.table("bronze", source.table))
+    return bronze.select(
+        "job_title", "company_name", "place", "salary", "job_url", F.split("load", "-")[0].alias("brought_by")
+    )
+
+
+def snk_split_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both halves of all postings written by one job, the counts taken from what was written."""
+    halves = silver_plan.split_stored(raw_postings(spark, sf_dir), "halves")
+    complete, rejected = (half.select(F.lit(flag).alias("complete"), "source") for half, flag in zip(halves, (True, False), strict=True))
+    return columns.union_by_name([complete, rejected]).groupBy("complete", "source").agg(F.count(F.lit(1)).alias("n"))
+
+
 def snk_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events appended to a day-partitioned table, read back with the day."""
     sinks.create_namespaces(spark, stage.staging_path(spark, sf_dir, "lake"))
@@ -476,6 +521,8 @@ QUERIES: dict[str, Query] = {
     "snk_append": snk_append,
     "snk_quarantine": snk_quarantine,
     "run_day_counts": run_day_counts,
+    "run_day_and_stream": run_day_and_stream,
+    "snk_split_write": snk_split_write,
     "snk_upsert_table": snk_upsert_table,
     "snk_append_new": snk_append_new,
     "src_changed_day": src_changed_day,

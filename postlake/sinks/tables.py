@@ -89,9 +89,19 @@ def write_rejects(
     append_or_create(rejects(df), table, ts, row_level=row_level, replace=replace)
 
 
+def clear_day(spark: SparkSession, table: str, day: dt.date, *, row_level: bool = False) -> None:
+    """Drop the rows of one day of a table partitioned by day."""
+    if row_level:
+        spark.sql(f"DELETE FROM {table} WHERE to_date(ingested_at) = DATE '{day.isoformat()}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DAY_PARTITION} = '{day.isoformat()}')")
+
+
 def write_quarantine(df: DataFrame, path: str, *, replace: bool = False) -> int:
-    """SNK-2: unparsable lines as JSON, if there are any; how many there were."""
-    if not has_rows(df):
+    """SNK-2: unparsable lines as JSON; how many there were.
+
+    ``replace`` also clears what an earlier attempt left where there are none now."""
+    if not replace and not has_rows(df):
         return 0
     counts = Observation()
     mode = "overwrite" if replace else "append"
