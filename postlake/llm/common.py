@@ -10,6 +10,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -61,12 +62,48 @@ def in_python(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema)
 
 
+_stage: ContextVar[str] = ContextVar("stage", default="")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{staging_root(spark)}/{_stage.get()}{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def _deleted(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def unstaged(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: what came of them is written itself."""
+    for table in tables:
+        _deleted(table.sparkSession, table.staged_at)
+
+
+def begin_stage(docs: DataFrame, *, last: bool = False) -> None:
+    """Stage tables in a new folder from now on, and delete that of the stage before: its
+    output is written, or ``docs`` would still read from there.  The ``last`` stage stages none."""
+    spark, old = docs.sparkSession, _stage.get()
+    if old and not any(f"/{old}" in file for file in docs.inputFiles()):
+        _deleted(spark, f"{staging_root(spark)}/{old.rstrip('/')}")
+    _stage.set("" if last else f"stage-{uuid.uuid4().hex[:12]}/")
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of the table has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def partitions_of(spark: SparkSession) -> int:

@@ -4,6 +4,9 @@ Every round is one exchange over the links that are left and cuts its lineage wi
 written table.  Rounds end when a round changes nothing: about the logarithm of the
 longest chain.  A hot node is pre-aggregated: only the smallest neighbour of a node is
 needed from each task (``min``), and links are made distinct as they are written.
+
+Rows: links of a node with itself and repeated links count for nothing; links must not be null
+(nodes without a link are not listed); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import staged
+from postlake.llm.common import staged, unstaged
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -43,8 +46,10 @@ def components(links: DataFrame) -> DataFrame:
     links = staged(links.where(F.col("a") != F.col("b")).select("a", "b").distinct(), "links")
     mark = _mark(links)
     while mark[0]:
-        links = staged(_star(_star(links, large=True), large=False), "links")
-        before, mark = mark, _mark(links)
+        following = staged(_star(_star(links, large=True), large=False), "links")
+        before, mark = mark, _mark(following)
+        unstaged(links)
+        links = following
         if mark == before:
             break
     members = links.select(F.col("a").alias("node"), F.col("b").alias("component"))

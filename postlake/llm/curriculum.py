@@ -25,7 +25,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postlake.llm.common import partitions_of, staged, text_key
+from postlake.llm.common import free_names, partitions_of, staged, text_key
 
 WEIGHTS = (5, 2, 1)
 SHARE = Fraction(3, 2)
@@ -144,16 +144,17 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """The documents in training order, with all their columns: each as often as it is due,
     always whole.  Rows are sorted by position in ranges; a file holds one range."""
     parts = partitions_of(docs.sparkSession)
+    none, number_of, key, times, nth, time = free_names(docs, "none", "id", "key", "times", "nth", "time")
+    keys = [none, number_of, key]
+    row = lambda column: {none: column.isNull(), number_of: F.coalesce(column, F.lit(0))}
     due = plan(docs, doc_id, text, source).where("first_time is not null")
-    times = F.array_sort(F.collect_list(F.array_compact(F.array("first_time", "second_time"))))
-    row = lambda column: {"__none": column.isNull(), "__id": F.coalesce(column, F.lit(0))}
-    keys = ["__none", "__id", "__text"]
-    due = due.withColumns(row(F.col("doc_id"))).withColumnRenamed("key", "__text").groupBy(*keys).agg(times.alias("__times"))
-    keyed = docs.withColumns(row(F.col(doc_id).cast("long")) | {"__text": text_key(text)})
+    due = due.select(F.col("key").alias(key), "doc_id", F.array_compact(F.array("first_time", "second_time")).alias(times))
+    due = due.withColumns(row(F.col("doc_id"))).groupBy(*keys).agg(F.array_sort(F.collect_list(times)).alias(times))
+    keyed = docs.withColumns(row(F.col(doc_id).cast("long")) | {key: text_key(text)})
     # Rows that repeat one another share out the times found for them; they are numbered on
     # the join's own partitioning, so the texts are not exchanged again.
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy("__id"))
-    timed = keyed.join(due, keys).withColumn("__number", number)
-    timed = timed.withColumn("__time", F.explode(F.get("__times", F.col("__number") - 1)))
-    ordered = timed.repartitionByRange(parts, "__time").sortWithinPartitions("__time", "__id")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(number_of))
+    timed = keyed.join(due, keys).withColumn(nth, place)
+    timed = timed.withColumn(time, F.explode(F.get(times, F.col(nth) - 1)))
+    ordered = timed.repartitionByRange(parts, time).sortWithinPartitions(time, number_of)
     return ordered.select(*docs.columns)

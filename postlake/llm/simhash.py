@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlake.llm.common import batches, in_python, staged, text_key, text_of
+from postlake.llm.common import batches, free_names, in_python, staged, text_key, text_of
 from postlake.llm.components import components
 
 RADIUS = 2
@@ -252,13 +252,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, doc_id: str = "doc_id", text
 def one_of_each(docs: DataFrame, size: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The document of the smallest doc_id of each class, with all its columns (of rows of
     one doc_id the one of the smallest text key; of equal rows one)."""
-    named = {"__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), "__none": F.col(doc_id).isNull(), "__key": text_key(text)}
-    keyed = docs.withColumns(named)
-    keys = ("__none", "__id", "__key")  # in this order null doc_ids come last
-    prints = staged(fingerprints(keyed, size, keys, text), "simhash")
-    chosen = classes(prints, "__id").groupBy("component").agg(F.min(F.struct(*keys)).alias("least")).select("least.*")
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy("__id"))
-    kept = keyed.join(chosen, list(keys), "left_semi").withColumn("__number", number).where("__number = 1")
+    names = free_names(docs, "none", "id", "key", "number")  # in this order null doc_ids come last
+    keys, number = names[:3], names[3]
+    values = (F.col(doc_id).isNull(), F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), text_key(text))
+    keyed = docs.withColumns(dict(zip(keys, values, strict=True)))
+    prints = staged(fingerprints(keyed, size, tuple(keys), text), "simhash")
+    chosen = classes(prints, keys[1]).groupBy("component").agg(F.min(F.struct(*keys)).alias("first")).select("first.*")
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[1]))
+    kept = keyed.join(chosen, keys, "left_semi").withColumn(number, nth).where(F.col(number) == 1)
     return kept.select(*docs.columns)
 
 
