@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import batches, in_python, partitions_of, span_hashes, text_of
+from postlake.llm.common import batches, in_python, kept_by, partitions_of, span_hashes, text_of
 from postlake.llm.spans import Encoder, SpanCache, encoder, safe_cuts
 
 ROLL = 16
@@ -105,6 +105,7 @@ class ChunkEncoder:
 
 
 _chunkers: dict[str, ChunkEncoder] = {}
+kept_by("encoder", _chunkers.clear)
 
 
 def chunker(path: str) -> ChunkEncoder:
@@ -153,7 +154,7 @@ def encoded(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                 [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(runs, pa.binary())], ["doc_id", "n_tokens", "ids"]
             )
 
-    return in_python(_dealt(docs, doc_id, text), run, _TOKENS)
+    return in_python(_dealt(docs, doc_id, text), run, _TOKENS, kind="encoder")
 
 
 def _vocabulary(tokenizer: str) -> list[str]:
@@ -176,7 +177,7 @@ def decoded(tokens: DataFrame, tokenizer: str) -> DataFrame:
             texts = [_text(entries, x) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
 
-    return in_python(tokens.select("doc_id", "n_tokens", "ids"), run, f"{_TOKENS}, text string")
+    return in_python(tokens.select("doc_id", "n_tokens", "ids"), run, f"{_TOKENS}, text string", kind="encoder")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -194,4 +195,4 @@ def round_trip(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: st
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return in_python(_dealt(docs, doc_id, text), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return in_python(_dealt(docs, doc_id, text), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", kind="encoder")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import postlake
-from postlake.session import staging_root
+from postlake.session import staging_root, tune
 
 SLICE_BYTES = 1 << 20
 """Python works on about this much text at a time (one longer text stays whole)."""
@@ -48,8 +48,30 @@ def text_key(column: str = "text") -> Column:
 _shipped: set[str] = set()
 
 
-def in_python(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with this package at hand on every executor."""
+_kept: list[tuple[str, Callable[[], None]]] = []
+
+
+def kept_by(kind: str, clear: Callable[[], None]) -> None:
+    """Say that a worker process keeps something for tasks of a kind that follow each other."""
+    _kept.append((kind, clear))
+
+
+def let_go(kind: str) -> None:
+    """A task of this kind begins: what others keep in this worker process goes."""
+    for other, clear in _kept:
+        if other != kind:
+            clear()
+
+
+def in_python(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, *, kind: str = ""
+) -> DataFrame:
+    """``mapInArrow`` with this package at hand on every executor; ``kind`` as in ``kept_by``."""
+
+    def alone(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(kind)
+        yield from run(found)
+
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
         package = Path(postlake.__file__).parent
@@ -59,7 +81,7 @@ def in_python(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
                 archive.write(file, file.relative_to(package.parent))
         context.addPyFile(str(path))
         _shipped.add(context.applicationId)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(alone, schema)
 
 
 _stage: ContextVar[str] = ContextVar("stage", default="")
@@ -89,7 +111,7 @@ def unstaged(*tables: DataFrame) -> None:
 def begin_stage(docs: DataFrame, *, last: bool = False) -> None:
     """Stage tables in a new folder from now on, and delete that of the stage before: its
     output is written, or ``docs`` would still read from there.  The ``last`` stage stages none."""
-    spark, old = docs.sparkSession, _stage.get()
+    spark, old = tune(docs.sparkSession), _stage.get()
     if old and not any(f"/{old}" in file for file in docs.inputFiles()):
         _deleted(spark, f"{staging_root(spark)}/{old.rstrip('/')}")
     _stage.set("" if last else f"stage-{uuid.uuid4().hex[:12]}/")

@@ -21,7 +21,7 @@ from itertools import chain
 
 import numpy as np
 
-from postlake.llm.common import span_hashes
+from postlake.llm.common import kept_by, span_hashes
 
 #: Lead bytes of the blocks that hold all white space beyond ASCII.
 _LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
@@ -241,6 +241,7 @@ class Encoder:
 
 
 _encoders: dict[str, Encoder] = {}
+kept_by("encoder", _encoders.clear)
 
 
 def encoder(path: str) -> Encoder:

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import SLICE_BYTES, batches, in_python, staged, text_of
+from postlake.llm.common import SLICE_BYTES, batches, in_python, kept_by, staged, text_of
 from postlake.llm.spans import Encoder, gather
 
 SLICE = 8 << 20
@@ -193,6 +193,7 @@ class _Writer:
 
 
 _tools: dict[tuple[str, str], SimpleNamespace] = {}
+kept_by("alignment", _tools.clear)
 
 
 def _both(byte_bpe: str, piece_bpe: str) -> SimpleNamespace:
@@ -256,7 +257,7 @@ def _sliced(docs: DataFrame, byte_bpe: str, piece_bpe: str, slice_bytes: int) ->
             yield from finished(number, rows, doc, pair)
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return in_python(given, run, _SLICED)
+    return in_python(given, run, _SLICED, kind="alignment")
 
 
 def pair_counts(sliced: DataFrame) -> DataFrame:
@@ -333,4 +334,4 @@ def links(docs: DataFrame, byte_bpe: str, piece_bpe: str, *, doc_id: str = "doc_
             )
 
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return in_python(given, run, _LINKS)
+    return in_python(given, run, _LINKS, kind="alignment")

@@ -67,7 +67,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0, doc_id: str = "do
             )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return in_python(rows, run, _DOC)
+    return in_python(rows, run, _DOC, kind="encoder")
 
 
 def id_counts(tokens: DataFrame, kind: str) -> np.ndarray:
