@@ -35,13 +35,19 @@ from postlake.llm.common import SLICE_BYTES, dealt_by_range, in_python, mixed, p
 S = 8
 K = 2 * S
 ANCHORS = 64
+SHARE = 8
 _OUT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
 )
 
 
-def sketches(texts: list[str]) -> list[list[int]]:
+def _limit(share: int) -> int:
+    """The largest hash that is always kept."""
+    return (1 << 32) // share - 1
+
+
+def sketches(texts: list[str], share: int = SHARE) -> list[list[int]]:
     """The anchors of each text, in text order."""
     raw = [t.encode("utf-32-le", "surrogatepass") for t in texts]
     points = np.frombuffer(b"".join(raw), dtype="<u4")
@@ -65,7 +71,7 @@ def sketches(texts: list[str]) -> list[list[int]]:
         new[1:] = (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])
         doc, code, starts = doc[new], code[new], starts[new]
         begin = np.searchsorted(doc, np.arange(len(texts) + 1))
-        taken = np.arange(len(doc)) - begin[doc] < ANCHORS
+        taken = (np.arange(len(doc)) - begin[doc] < ANCHORS) | (code <= np.uint64(_limit(share)))
         doc, code, starts = doc[taken], code[taken], starts[taken]
         order = np.argsort(starts, kind="stable")
         code = code[order]
@@ -77,12 +83,17 @@ def sketches(texts: list[str]) -> list[list[int]]:
     return out
 
 
-def likeness(a: list[int], b: list[int]) -> float:
+def _bound(anchors: list[int], share: int) -> int:
+    """Up to where all anchors of the text are in its sample."""
+    return 1 << 32 if len(anchors) < ANCHORS else max(_limit(share), max(anchors))
+
+
+def likeness(a: list[int], b: list[int], share: int = SHARE) -> float:
     if a == b:
         return 1.0
     if not a or not b:
         return 0.0
-    bound = min(max(a) if len(a) == ANCHORS else 1 << 32, max(b) if len(b) == ANCHORS else 1 << 32)
+    bound = min(_bound(a, share), _bound(b, share))
     place = {code: i for i, code in enumerate(b) if code <= bound}
     own = [code for code in a if code <= bound]
     chain: list[int] = []
@@ -141,16 +152,16 @@ def _rows(found: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, str, st
             last = (place, doc, text)
 
 
-def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
     """Each document's fingerprint beside those of its edited text and its successor."""
 
     def made(held: list[tuple[int | None, str, str]]) -> pa.RecordBatch:
         changed = [edited(t, after) for _, t, after in held]
-        own = sketches([t for _, t, _ in held] + [held[-1][2]])
-        other = sketches(changed)
+        own = sketches([t for _, t, _ in held] + [held[-1][2]], share)
+        other = sketches(changed, share)
         # Rows follow each other within a range; where a new range begins, look again.
         nexts = [
-            own[i + 1] if i + 1 == len(held) or held[i + 1][1] == held[i][2] else sketches([held[i][2]])[0]
+            own[i + 1] if i + 1 == len(held) or held[i + 1][1] == held[i][2] else sketches([held[i][2]], share)[0]
             for i in range(len(held))
         ]
         columns = (
@@ -159,8 +170,8 @@ def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             [hashlib.sha256(c.encode("utf-8", "surrogatepass")).hexdigest() for c in changed],
             list(map(as_text, own[:-1])),
             list(map(as_text, other)),
-            list(map(likeness, own[:-1], other)),
-            list(map(likeness, own[:-1], nexts)),
+            [likeness(a, b, share) for a, b in zip(own, other, strict=False)],
+            [likeness(a, b, share) for a, b in zip(own, nexts, strict=False)],
         )
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
