@@ -135,6 +135,11 @@ def candidates(postings: DataFrame, queries: dict[int, Query]) -> DataFrame:
     return met.groupBy("doc", "key").agg(F.bit_or(F.expr("shiftleft(1, rule)")).alias("rules"))
 
 
+_NONE = "cast(array() as array<struct<start: int, kind: int, end: int>>)"
+BLOCK = 512
+"""Matches whose places are summed up one after the other."""
+
+
 def _spans(kind: int, expression: str, group: int, least: int) -> Column:
     """Spans of one rule in ``text``: array of (start, kind, end)."""
     found = F.regexp_extract_all("text", F.lit(expression), F.lit(0))
@@ -148,8 +153,6 @@ def _spans(kind: int, expression: str, group: int, least: int) -> Column:
         F.slice(gaps, F.lit(1), F.size(lengths)),
         lambda m, gap: F.struct(gap.alias("gap"), m["length"].alias("length"), m["measured"].alias("measured")),
     )
-    empty = F.expr("named_struct('at', 0, 'spans', cast(array() as array<struct<start: int, kind: int, end: int>>))")
-
     def step(done: Column, m: Column) -> Column:
         start = done["at"] + m["gap"]
         end = start + m["length"]
@@ -157,10 +160,24 @@ def _spans(kind: int, expression: str, group: int, least: int) -> Column:
         spans = F.when(m["measured"] >= least, F.concat(done["spans"], F.array(span))).otherwise(done["spans"])
         return F.struct(end.alias("at"), spans.alias("spans"))
 
-    return F.aggregate(steps, empty, step)["spans"]
+    # Growing an array copies it: sums run in blocks first, then over the blocks.
+    def block(all_steps: Column, number: Column) -> Column:
+        return F.aggregate(F.slice(all_steps, number * BLOCK + 1, F.lit(BLOCK)), F.expr(f"named_struct('at', 0, 'spans', {_NONE})"), step)
+
+    def moved(done: Column, part: Column) -> Column:
+        by = done["at"]
+        spans = F.transform(part["spans"], lambda s: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end")))
+        return F.struct((by + part["at"]).alias("at"), F.concat(done["spans"], F.array(spans)).alias("spans"))
+
+    def summed(all_steps: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(all_steps) - 1) / BLOCK).cast("int"))
+        blocks = F.transform(numbers, lambda number: block(all_steps, number))
+        whole = F.aggregate(blocks, F.expr(f"named_struct('at', 0, 'spans', array({_NONE}))"), moved)
+        return F.when(F.size(all_steps) > 0, F.flatten(whole["spans"])).otherwise(F.expr(_NONE))
+
+    return F.transform(F.array(steps), summed)[0]  # a list of one, so that the steps are found once
 
 
-_NONE = "cast(array() as array<struct<start: int, kind: int, end: int>>)"
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
