@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlake.llm.common import staged, text_key
+from postlake.llm.common import free_names, staged, text_key
 
 MIN_LINES = 2
 _PLACE = ("doc", "key", "line")
@@ -127,34 +127,36 @@ def without_copied_runs(
             F.col(text).alias("kept"),
         )
         return docs.withColumn(out, parts)
-    per_text = runs.groupBy(F.col("doc").alias("__doc"), F.col("key").alias("__key")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__runs"), F.max("longest").alias("__longest")
+    doc, key, gone, longest = free_names(docs, "doc", "key", "gone", "longest")
+    per_text = runs.groupBy(F.col("doc").alias(doc), F.col("key").alias(key)).agg(
+        F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(gone), F.max("longest").alias(longest)
     )
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("__doc")) & (text_key(text) == F.col("__key"))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(doc)) & (text_key(text) == F.col(key))
     joined = docs.join(per_text, same, "left")
     zero = F.array(F.lit(0))
-    kept_from = F.concat(zero, F.col("__runs.stop"))
-    kept_to = F.concat(F.col("__runs.start"), F.array(total))
+    kept_from = F.concat(zero, F.col(gone)["stop"])
+    kept_to = F.concat(F.col(gone)["start"], F.array(total))
     pieces = F.zip_with(kept_from, kept_to, lambda a, b: F.slice(lines, a + 1, b - a))
-    removed = F.aggregate("__runs", F.lit(0), lambda n, r: n + r["stop"] - r["start"])
-    changed = F.col("__runs").isNotNull()
+    removed = F.aggregate(gone, F.lit(0), lambda n, r: n + r["stop"] - r["start"])
+    changed = F.col(gone).isNotNull()
     parts = F.struct(
         total.alias("n_lines"),
         F.when(changed, removed).otherwise(0).alias("n_removed"),
-        F.when(changed, F.size("__runs")).otherwise(0).alias("n_runs"),
-        F.coalesce("__longest", F.lit(0)).alias("longest_copy"),
+        F.when(changed, F.size(gone)).otherwise(0).alias("n_runs"),
+        F.coalesce(longest, F.lit(0)).alias("longest_copy"),
         F.when(changed, F.array_join(F.flatten(pieces), "\n")).otherwise(F.col(text)).alias("kept"),
     )
     return joined.select(*(docs[c] for c in docs.columns if c != out), parts.alias(out))
 
 
-def oracle(levels: int = 13, min_lines: int = MIN_LINES) -> str:
-    """The same in SQL: window texts of every power of two compared as text."""
+def oracle(min_lines: int = MIN_LINES) -> str:
+    """The same in SQL: window texts of every power of two, up to the lines of a text, compared
+    as text."""
     return f"""
     WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
     places AS (
       SELECT doc_id, ls, len(ls) AS n, unnest(range(len(ls)))::BIGINT AS i FROM docs),
-    sized AS (SELECT *, unnest([1::BIGINT << k FOR k IN range({levels})]) AS w FROM places),
+    sized AS (SELECT *, unnest([1::BIGINT << k FOR k IN range(floor(log2(n))::BIGINT + 1)]) AS w FROM places),
     windows AS (
       SELECT doc_id, i, w, array_to_string(ls[i + 1 : i + w], chr(10)) AS body FROM sized
       WHERE w >= {min_lines} AND i + w <= n),

@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from test_near_dedup import kept_by_all_pairs
 from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
@@ -27,6 +28,8 @@ from postlake.llm import (
     token_files,
 )
 
+from postlake.llm.common import mixed, span_hashes
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key int, fp long, size string, range int, line_dedup int"
 LONG = "one two three four five six seven eight nine ten eleven twelve\n" * 3000 + "x" * 100_000
@@ -146,6 +149,61 @@ def test_fingerprints(spark, sf_dir, docs):
     assert np.mean([r.near_edited for r in long]) > 0.6 > 0.1 > np.mean([r.near_next for r in long])
 
 
+def closed_syncmers(text):
+    """All of a text by a loop over its runs of 16 characters: codes in order of first appearance."""
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    small = [int(span_hashes(points[i : i + 8], np.array([0]), np.array([8]))[0]) for i in range(len(points) - 7)]
+    codes = []
+    for i in range(len(points) - 15):
+        inner = small[i : i + 9]
+        if min(inner) in (inner[0], inner[-1]):
+            code = int(mixed(np.array([(inner[0] * 3 + inner[8]) % 2**64], dtype=np.uint64))[0]) >> 32
+            if code not in codes:
+                codes.append(code)
+    return codes
+
+
+def test_syncmers_against_a_loop():
+    rng = np.random.default_rng(1)
+    for size in (15, 16, 40, 400, 3000):
+        text = "".join(rng.choice(list("abcdeé \U0001f600"), size))
+        codes = closed_syncmers(text)
+        assert syncmers.sketches([text], share=1)[0] == codes or not codes
+        least = set(sorted(codes)[:64])
+        if codes:
+            assert syncmers.sketches([text])[0] == [c for c in codes if c in least or c < 2**32 // 8]
+
+
+def longest_common_order(a, b):
+    rows = [0] * (len(b) + 1)
+    for x in a:
+        before = rows[:]
+        for j, y in enumerate(b):
+            rows[j + 1] = before[j] + 1 if x == y else max(before[j + 1], rows[j])
+    return rows[-1]
+
+
+def test_likeness_against_a_table(docs):
+    texts = [t for _, t, *_ in docs if len(t) > 200][:12]
+    for one, other in zip(texts, texts[1:], strict=False):
+        pair = [one, one[: 3 * len(one) // 4] + other[: len(one) // 4]]
+        a, b = map(closed_syncmers, pair)
+        want = 2 * longest_common_order(a, b) / (len(a) + len(b))
+        assert abs(syncmers.likeness(*syncmers.sketches(pair, share=1), share=1) - want) < 1e-12
+        assert abs(syncmers.likeness(*syncmers.sketches(pair)) - want) < 0.25
+
+
+def test_long_texts_share_the_anchors_of_a_passage():
+    rng = np.random.default_rng(2)
+    words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    passage, short = words(200), words(50)
+    pair = [f"{words(10_000)} {passage} {words(5_000)} {short} {words(5_000)}" for _ in range(2)]
+    common = set.intersection(*map(set, syncmers.sketches(pair)))
+    assert len(common & set(syncmers.sketches([passage], share=1)[0])) >= 20
+    assert common & set(syncmers.sketches([short], share=1)[0])
+    assert syncmers.likeness(*syncmers.sketches(pair)) > 0.005
+
+
 def test_syncmers_ignore_their_surroundings():
     text = " ".join(f"w{i * 37 % 101}" for i in range(60))
     points = np.frombuffer(text.encode("utf-32-le"), "<u4")
@@ -176,6 +234,16 @@ def test_secrets(spark):
     assert found[4].spans.startswith("web_token:0:")
 
 
+def test_many_secrets_in_one_text(spark):
+    """Places are summed up in blocks; 40,000 matches took minutes when each copied all before it."""
+    text = "".join(f"token=abcdef{i} \U0001f600" if i % 3 else f"key {i:024x} " for i in range(40_000))
+    rows = spark.createDataFrame([(1, text), (2, "x" + text[:20_000]), (3, None)], "doc_id long, text string")
+    found = {r.doc_id: r for r in secret_scan.report(secret_scan.scan(rows)).collect()}
+    for doc_id, body in ((1, text), (2, "x" + text[:20_000]), (3, "")):
+        written = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in base_spans(body))
+        assert found[doc_id].base_sha256 == sha(written)
+
+
 def test_secrets_of_documents(spark, sf_dir, docs):
     found = rows_of(spark, sf_dir, "op5_secret_scan")
     for doc_id, text, *_ in docs:
@@ -330,13 +398,80 @@ def test_whole_pipeline(spark, awkward):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count()
 
 
+def due_by_hand(rows):
+    """(doc_id, time) of every appearance in the mix; rows of (doc_id, source, size, drawn)."""
+    sizes = Counter()
+    for _, source, size, _ in rows:
+        sizes[source] += size
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    due, left = {}, 1.5 * sum(sizes.values())
+    while len(due) < len(order):
+        free = [s for s in order if s not in due]
+        share = {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        full = [s for s in free if share[s] > 2 * sizes[s]]
+        for s in full or free:
+            due[s] = 2 * sizes[s] if full else share[s]
+        left -= sum(due[s] for s in full)
+
+    def time(share, knots):  # by halving, on the area below the knots
+        def area(t):
+            return sum(
+                (min(t, b) - a) * (u + u + (v - u) * (min(t, b) - a) / (b - a)) / 2
+                for (a, u), (b, v) in zip(knots, knots[1:], strict=False) if t > a
+            )
+
+        low, high = 0.0, 1.0
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (middle, high) if area(middle) < share * area(1.0) else (low, middle)
+        return low
+
+    out = []
+    for i, source in enumerate(order):
+        own, at = sorted((r for r in rows if r[1] == source), key=lambda r: (r[3] % 2**64, r[0])), 0
+        for start in (0, sizes[source]):
+            at = start
+            for doc_id, _, size, _ in own:
+                if min(size, int(due[source]) - at) > 0:
+                    out.append((doc_id, time(at / due[source], curriculum.SCHEDULES[i % 3])))
+                at += size
+    return out
+
+
 def test_pipeline_stages(spark, sf_dir, docs):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     known = corpus_pipeline.language_id(spark, table, sf_dir)
     assert known.count() == sum(bool(re.search(r"[^\W\d_]", t)) for _, t, *_ in docs)
     single = corpus_pipeline.near_dedup(spark, known, sf_dir)
-    classes = simhash.near_duplicates(known).select("component_id").distinct()
-    assert sorted(r.doc_id for r in single.collect()) == sorted(r.component_id for r in classes.collect())
-    mixed = Counter(r.doc_id for r in corpus_pipeline.mixing(spark, single, sf_dir).collect())
-    due = {r.doc_id: r for r in curriculum.plan(single).collect()}
-    assert mixed == Counter({i: (r.first_time is not None) + (r.second_time is not None) for i, r in due.items() if r.taken})
+    want, _ = kept_by_all_pairs(sorted((r.doc_id, r.text) for r in known.collect()))
+    assert sorted(r.doc_id for r in single.collect()) == want
+    drawn = F.xxhash64(F.lit(7), "doc_id", F.xxhash64("text")).alias("drawn")
+    rows = [(r.doc_id, r.source, len(WORD.findall(r.text)), r.drawn) for r in single.select("doc_id", "source", "text", drawn).collect()]
+    due = {}
+    for doc_id, time in sorted(due_by_hand(rows), key=lambda d: d[1]):
+        due.setdefault(doc_id, []).append(time)
+    found = [r.doc_id for r in corpus_pipeline.mixing(spark, single, sf_dir).collect()]
+    assert Counter(found) == Counter({i: len(times) for i, times in due.items()})
+    times = [due[i].pop(0) for i in found]
+    assert all(b > a - 1e-9 for a, b in zip(times, times[1:], strict=False))
+
+
+def test_user_columns_of_helper_names(spark):
+    """Columns called like those the operators use inside come through as they were."""
+    text = "Some words in two lines\nthat come again and again in this text"
+    names = ["__none", "__id", "__key", "__text", "__number", "__time", "__times", "__lines", "__runs", "__doc", "none", "id", "key",
+             "number", "nth", "time", "times", "lines", "gone", "longest", "doc"]
+    rows = [(i, f"{text} {i // 2}", "en", "s", 1, *([1000 + i] * len(names))) for i in range(6)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` long" for n in names))
+    for stage in (corpus_pipeline.line_dedup, corpus_pipeline.near_dedup, corpus_pipeline.mixing):
+        found = stage(spark, table, "")
+        assert found.columns == table.columns
+        kept = found.collect()
+        assert kept and all(r[n] == 1000 + r.doc_id for r in kept for n in names)
+    assert all(r["id"] == 1000 + r.doc_id for r in simhash.one_of_each(table).collect())
+
+
+def test_pipeline_stages_on_an_empty_table(spark, awkward):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, awkward.limit(0), "").count() == 0
