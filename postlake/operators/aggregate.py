@@ -6,6 +6,8 @@ not the rows, and a key held by a third of the rows costs one row per task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,3 +88,11 @@ def with_grand_total(counts: DataFrame, count: str, name: str = "total") -> Data
     """AGG-6: total over already aggregated groups (one row per source)."""
     return counts.withColumn(name, F.sum(count).over(Window.partitionBy()))
 
+
+def rolled_up(counts: DataFrame, keys: Sequence[str], count: str, level: str = "level") -> DataFrame:
+    """AGG-6, DQ-7: counts per group with the subtotals of all leading keys and the grand total.
+
+    ``level`` is the grouping id (0: a group, 1: the last key is summed up, ...): it tells a
+    subtotal from a group whose key is NULL.  ``counts`` has one row per group already, so
+    what the expansion multiplies is small."""
+    return counts.rollup(*keys).agg(F.sum(count).alias(count), F.grouping_id().alias(level))

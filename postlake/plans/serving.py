@@ -98,6 +98,44 @@ def _shown(name: str, missing: str):
     return F.coalesce(_stated(name), F.lit(missing)).alias(name)
 
 
+def every_page(star: Star, keyword: str, size: int = 5) -> DataFrame:
+    """SRT-2 without a limit: the page of each posting that matches, newest first."""
+    facts = star.fact_job_postings
+    found = facts.filter(title_like(keyword)).select("job_id", "job_title", "ingested_at")
+    return ranking.all_paged(found, ranking.latest_first(found, ["job_id"]), size).select("job_id", "page", "pages")
+
+
+SEARCH_SQL = """
+SELECT f.job_title, c.company_name, f.salary_min, f.salary_max, f.salary_currency, f.job_url,
+       l.location_name, f.deadline_date, f.inserted_at, v.level_name
+FROM (SELECT * FROM {fact} WHERE lower(job_title) LIKE concat('%', lower(:keyword), '%')
+      ORDER BY ingested_at DESC, job_id DESC LIMIT :hits) f
+LEFT JOIN {company} c ON f.company_id = c.company_id
+LEFT JOIN {location} l ON f.location_id = l.location_id
+LEFT JOIN {level} v ON f.level_id = v.level_id
+ORDER BY f.ingested_at DESC, f.job_id DESC
+"""
+
+
+def search_bound(spark: SparkSession, star: Star, keyword: str, limit: int = 100) -> DataFrame:
+    """SRV-1 as SQL with bind parameters: whatever the keyword holds, it is a value and no SQL."""
+    tables = {
+        "fact": star.fact_job_postings, "company": star.dim_company,
+        "location": star.dim_location, "level": star.dim_level,
+    }
+    return spark.sql(SEARCH_SQL, args={"keyword": keyword, "hits": limit}, **tables)
+
+
+def stats_rolled_up(star: Star) -> DataFrame:
+    """DQ-7: postings per source, place and salary band, with subtotals.
+
+    Counted by key before the place is looked up and before the groups are multiplied."""
+    keys = ["source", "location_id", "salary_band"]
+    counts = star.fact_job_postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("postings"))
+    named = counts.join(star.dim_location.select("location_id", "location_name"), "location_id", "left")
+    return aggregate.rolled_up(named, ["source", "location_name", "salary_band"], "postings")
+
+
 def stats(star: Star, name: str = "count") -> DataFrame:
     """SRV-2, DQ-7: postings per source."""
     return aggregate.count_by(star.fact_job_postings, "source", name)

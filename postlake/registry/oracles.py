@@ -476,6 +476,20 @@ _FROM_STAR["src_changed_day"] = _upserted(
     ],
 )
 
+_FROM_STAR["srv_stats_rolled_up"] = """SELECT source, location_name, salary_band, count(*) AS postings,
+    GROUPING_ID(source, location_name, salary_band) AS level
+    FROM fact f LEFT JOIN dim_location l ON f.location_id = l.location_id
+    GROUP BY ROLLUP (source, location_name, salary_band)"""
+_FROM_STAR["srv_every_page"] = """SELECT job_id, CAST(ceil(row_number() OVER (ORDER BY ingested_at DESC, job_id DESC) / 5.0)
+    AS INTEGER) AS page, CAST(ceil(count(*) OVER () / 5.0) AS INTEGER) AS pages
+    FROM fact WHERE lower(job_title) LIKE '%data%'"""
+_FROM_STAR["srv_search_bound"] = _FROM_STAR["srv_search"]
+_FROM_STAR["dq_dup_dim_rows"] = " UNION ALL ".join(
+    f"SELECT '{key}' AS key, {key} AS id, count(*) AS duplicate_count FROM every_fact "
+    f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1"
+    for key in ("company_id", "location_id", "level_id", "job_category_id")
+)
+
 # Tables written twice hold what the plain joins give.
 _FROM_STAR["snk_upsert_table"] = _FROM_STAR["ups_guarded"]
 _FROM_STAR["snk_append_new"] = _FROM_STAR["ups_insert_only"]

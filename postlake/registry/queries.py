@@ -468,6 +468,18 @@ def dq_dup_dim_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.union_by_name(found)
 
 
+def dq_dup_dim_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check on dimension rows that were not made distinct: of all postings."""
+    rows = gold.fact_job_postings(stage.unchecked(spark, sf_dir))
+    found = [
+        quality.duplicates(rows.where(F.col(key).isNotNull()), key).select(
+            F.lit(key).alias("key"), F.col(key).alias("id"), "duplicate_count"
+        )
+        for key in ("company_id", "location_id", "level_id", "job_category_id")
+    ]
+    return columns.union_by_name(found)
+
+
 def dq_orphans_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orphan checks where every dimension lacks most of its rows."""
     every = stage.UncheckedStar(spark, sf_dir)
@@ -570,12 +582,16 @@ QUERIES: dict[str, Query] = {
     "srv_salary_text": srv_salary_text,
     "srv_stats_by_source": _asked(serving.stats),
     "srv_stats_with_total": _asked(serving.stats_with_total),
+    "srv_stats_rolled_up": _asked(serving.stats_rolled_up),
+    "srv_every_page": _asked(lambda star: serving.every_page(star, KEYWORD)),
+    "srv_search_bound": lambda spark, sf_dir: serving.search_bound(spark, stage.StagedStar(spark, sf_dir), KEYWORD),
     "srv_top_skills": _asked(serving.top_skills),
     "srv_top_skills_ranked": _asked(serving.top_skills_ranked),
     "srv_top_locations": _asked(serving.top_locations),
     "dq_completeness": _checked(quality.completeness),
     "dq_dup_job_id": _checked(lambda star: quality.duplicates(star.fact_job_postings, "job_id")),
     "dq_dup_dim_keys": dq_dup_dim_keys,
+    "dq_dup_dim_rows": dq_dup_dim_rows,
     "dq_orphans_company": _checked(quality.orphaned_companies),
     "dq_orphans_location": _checked(quality.orphaned_locations),
     "dq_orphans_category": _checked(quality.orphaned_categories),

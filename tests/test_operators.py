@@ -220,3 +220,32 @@ def test_fields_lists_and_labels(spark):
     pairs = r"<dt>([^<]*)</dt><dd>([^<]*)</dd>"
     out = web.labelled_values(pages, pairs, {"level": "Level", "size": "Size", "none": "Other"})
     assert sorted(map(tuple, out.collect())) == [(1, "Senior", "9", None), (2, None, None, None)]
+
+
+def test_row_numbers_without_one_task(spark):
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"), (F.col("id") % 3).alias("tie")).repartition(5)
+    order = [F.col("tie").desc(), F.col("v")]
+    found = ranking.row_numbers(rows, order)
+    want = sorted(rows.collect(), key=lambda r: (-r.tie, r.v))
+    assert [(r.v, r.tie) for r in sorted(found.collect(), key=lambda r: r["rank"])] == [(r.v, r.tie) for r in want]
+    assert sorted(r["rank"] for r in found.collect()) == list(range(1, 1001))
+    assert ranking.row_numbers(rows.limit(0), order).count() == 0
+    same = ranking.row_numbers(spark.range(50).select(F.lit(1).alias("v")), [F.col("v")])
+    assert sorted(r["rank"] for r in same.collect()) == list(range(1, 51))
+    pages = ranking.all_paged(rows, order, 30).groupBy("page", "pages").count().collect()
+    assert {(r.page, r.pages, r["count"]) for r in pages} == {(p, 34, 30 if p < 34 else 10) for p in range(1, 35)}
+
+
+def test_rolled_up_tells_subtotals_from_nulls(spark):
+    rows = spark.createDataFrame([("a", None, 2), ("a", "x", 3), (None, "x", 4)], "s string, p string, n long")
+    found = {tuple(r) for r in aggregate.rolled_up(rows, ["s", "p"], "n").collect()}
+    assert found == {("a", None, 2, 0), ("a", "x", 3, 0), (None, "x", 4, 0), ("a", None, 5, 1), (None, None, 4, 1), (None, None, 9, 3)}
+
+
+def test_a_bound_keyword_is_no_sql(spark, sf_dir):
+    from postlake.plans.serving import search, search_bound
+    from postlake.registry.stage import StagedStar
+
+    star = StagedStar(spark, sf_dir)
+    for keyword in ("data", "DATA", "da%an", "' OR '1'='1", ""):
+        assert search_bound(spark, star, keyword).collect() == search(star, keyword).collect()
