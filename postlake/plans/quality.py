@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postlake.operators import aggregate
+from postlake.operators.columns import union_by_name
 from postlake.operators.filters import salary_inverted, salary_negative
 from postlake.plans.serving import Star
+from postlake.sinks.keyed import KEY_PARTITION, parts_slice
+from postlake.sinks.tables import publish_version
 
 _SALARY = ("job_id", "salary_min", "salary_max")
 
@@ -81,3 +87,47 @@ def salary_inverted_rows(facts: DataFrame) -> DataFrame:
 def salary_negative_rows(facts: DataFrame) -> DataFrame:
     """DQ-6."""
     return facts.filter(salary_negative()).select(*_SALARY)
+
+
+# --- orphan counts carried forward ------------------------------------------------------
+
+DIMENSIONS = {
+    "orphaned_companies": ("dim_company", "company_id"),
+    "orphaned_locations": ("dim_location", "location_id"),
+    "orphaned_categories": ("dim_job_category", "job_category_id"),
+    "orphaned_levels": ("dim_level", "level_id"),
+}
+
+
+def _orphans_by_part(facts: DataFrame, dim: DataFrame, key: str, name: str) -> DataFrame:
+    """check_name, key_part and n; only parts that have orphans."""
+    per_key = facts.where(F.col(key).isNotNull()).groupBy(KEY_PARTITION, key).agg(F.count(F.lit(1)).alias("_n"))
+    lost = per_key.join(dim.select(key), key, "left_anti")
+    return lost.groupBy(KEY_PARTITION).agg(F.sum("_n").alias("n")).select(F.lit(name).alias("check_name"), KEY_PARTITION, "n")
+
+
+def carry_orphans_forward(
+    spark: SparkSession, facts: str, dims: Mapping[str, tuple[DataFrame, str]], state: str, touched: Iterable[int] | None = None
+) -> None:
+    """DQ-3 after an upsert of the keyed table ``facts`` that rewrote the parts ``touched``.
+
+    The table ``state`` holds orphans by part.  Counted again are the touched parts and those that had
+    orphans: dimensions gain keys and lose none, so a part without orphans that was not touched
+    has none now.  Without ``touched``, or the first time, all parts are counted."""
+    rows = spark.table(facts)
+    known = spark.catalog.tableExists(state)
+    kept = None
+    if known and touched is not None:
+        had = {r[0] for r in spark.table(state).select(KEY_PARTITION).distinct().collect()}
+        again = sorted(had | set(touched))  # at most as many as the table has parts
+        rows = parts_slice(spark, facts, again)
+        kept = spark.table(state).where(~F.col(KEY_PARTITION).isin(again))
+    found = union_by_name([_orphans_by_part(rows, dim, key, name) for name, (dim, key) in dims.items()])
+    publish_version(found if kept is None else found.unionByName(kept), state)
+
+
+def carried_orphans(spark: SparkSession, state: str, names: Iterable[str] = DIMENSIONS) -> DataFrame:
+    """check_name and n of every check, 0 where no part has orphans."""
+    checks = spark.createDataFrame([(name,) for name in names], "check_name string")
+    sums = spark.table(state).groupBy("check_name").agg(F.sum("n").alias("n"))
+    return checks.join(sums, "check_name", "left").select("check_name", F.coalesce("n", F.lit(0)).alias("n"))

@@ -490,6 +490,16 @@ _FROM_STAR["dq_dup_dim_rows"] = " UNION ALL ".join(
     for key in ("company_id", "location_id", "level_id", "job_category_id")
 )
 
+_FROM_STAR["dq_orphans_carried"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS check_name, {name} AS n FROM ("
+    + _orphans(f"({_FROM_STAR['ups_fact']})", f"(SELECT * FROM {dim} WHERE {key} < '8')", key, name)
+    + ")"
+    for name, dim, key in (
+        ("orphaned_companies", "dim_company", "company_id"), ("orphaned_locations", "dim_location", "location_id"),
+        ("orphaned_categories", "dim_job_category", "job_category_id"), ("orphaned_levels", "dim_level", "level_id"),
+    )
+)
+
 # Tables written twice hold what the plain joins give.
 _FROM_STAR["snk_upsert_table"] = _FROM_STAR["ups_guarded"]
 _FROM_STAR["snk_append_new"] = _FROM_STAR["ups_insert_only"]

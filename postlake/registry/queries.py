@@ -503,6 +503,25 @@ def dq_orphans_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_orphans_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphans of two days of facts, the second day's carried forward; the dimensions lack rows
+    and gain some between the days."""
+    lake = _lake(spark, sf_dir)
+    facts, state = lake.table("gold", "carried_facts"), lake.table("gold", "carried_orphans")
+    star = stage.StagedStar(spark, sf_dir)
+
+    def dims(below: str) -> dict[str, tuple[DataFrame, str]]:
+        return {name: (getattr(star, dim).where(F.col(key) < below), key) for name, (dim, key) in quality.DIMENSIONS.items()}
+
+    def run() -> None:
+        for rows, below in ((stage.silver(spark, sf_dir), "4"), (_update_batch(spark, sf_dir), "8")):
+            touched = keyed.upsert_keyed(gold.fact_job_postings(rows), facts, "job_id", parts=8)
+            quality.carry_orphans_forward(spark, facts, dims(below), state, touched)
+
+    stage.once(stage.staging_path(spark, sf_dir, "carried"), run)
+    return quality.carried_orphans(spark, state)
+
+
 # --- web pages -------------------------------------------------------------------------------------
 
 
@@ -599,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "dq_bridge_orphan_jobs": dq_bridge_orphan_jobs,
     "dq_bridge_orphan_skills": _checked(quality.invalid_bridge_skills),
     "dq_orphans_parts": dq_orphans_parts,
+    "dq_orphans_carried": dq_orphans_carried,
     "dq_salary_inverted": _checked(lambda s: quality.salary_inverted_rows(s.fact_job_postings)),
     "dq_salary_inverted_amounts": dq_salary_inverted_amounts,
     "dq_salary_negative_amounts": dq_salary_negative_amounts,

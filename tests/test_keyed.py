@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlake.operators import aggregate
+from postlake.plans import quality
 from postlake.session import store
 from postlake.sinks import keyed, serving
 from postlake.sources.tables import changed_parts, read_changed_day
@@ -154,3 +155,26 @@ def test_layout_is_not_published(spark, monkeypatch):
     keyed.upsert_keyed(rows_of(spark, 5, a="'a'"), "to_publish", "k", parts=PARTS)
     serving.publish_table(spark, "to_publish", "t", "url", {})
     assert sent == [["k", "a"]]
+
+
+def test_orphans_are_carried_forward(spark):
+    def facts(rows):
+        return spark.createDataFrame(rows, "job_id string, company_id string")
+
+    def dim(*keys):
+        return {"orphaned_companies": (spark.createDataFrame([(k,) for k in keys], "company_id string"), "company_id")}
+
+    def load(rows, dims, carried=True):
+        touched = keyed.upsert_keyed(facts(rows), "orphan_facts", "job_id", parts=PARTS)
+        quality.carry_orphans_forward(spark, "orphan_facts", dims, "orphan_state", touched if carried else None)
+        table, (known, key) = spark.table("orphan_facts"), dims["orphaned_companies"]
+        found = quality.carried_orphans(spark, "orphan_state", dims).collect()
+        assert [tuple(r) for r in found] == [("orphaned_companies", aggregate.orphans(table, known, key, "n").first().n)]
+        return found[0].n
+
+    assert load([(str(i), f"c{i % 3}") for i in range(60)] + [("x", None)], dim("c0", "c1")) == 20
+    assert load([("1", "c2"), ("2", "c0"), ("new", "gone")], dim("c0", "c1")) == 21
+    assert load([("new", "c0")], dim("c0", "c1", "c2")) == 0
+    assert load([("3", "gone")], dim("c0", "c1", "c2")) == 1
+    assert load([], dim("c0", "c1", "c2")) == 1
+    assert load([("3", "c1")], dim("c0", "c1", "c2"), carried=False) == 0
