@@ -6,7 +6,7 @@ many links or items one page has.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions import html as markup
+from postlake.functions import tree
 
 
 @dataclass(frozen=True)
@@ -29,18 +30,10 @@ class LinkRule:
     within: str = ""
     unique: bool = False
     scope: str | None = None
-    after: str | None = None
-
-
-def _class(name: str) -> str:
-    """Pattern of a start tag with the class."""
-    value = rf"[^\"'>]*(?<![\w-]){name}(?![\w-])[^\"'>]*"
-    return rf"(?i)<[a-z][a-z0-9]*\b[^>]*?\bclass\s*=\s*[\"']{value}[\"'][^>]*>"
-
-
-def _of_class(name: str) -> str:
-    """Pattern of a link that stands first in an element with the class."""
-    return rf"{_class(name)}\s*(<a\b[^>]*>)"
+    child_of: str | None = None
+    """Class of the element whose children the links are."""
+    inside: str | None = None
+    """Class of an element that holds it; for ``child_of`` only."""
 
 
 # --- Fixed values: posting links per source -------------------------------------
@@ -63,8 +56,7 @@ LINK_RULES = {
         within="careerviet.vn",
         unique=True,
     ),
-    # Links that stand first in an element of class "title", from the first "body-box" on.
-    "topcv": LinkRule(scope=_of_class("title"), after=_class("body-box")),
+    "topcv": LinkRule(child_of="title", inside="body-box"),
 }
 
 
@@ -87,10 +79,12 @@ def _absolute(href: Column, host: str) -> Column:
 
 def links(pages: DataFrame, rule: LinkRule, html: str = "html") -> DataFrame:
     """WEB-1: one row per kept link; repeats of one page go before the explode."""
-    page = F.col(html)
-    if rule.after:
-        page = F.get(F.split(page, rule.after, 2), 1)
-    found = F.filter(markup.hrefs(page, rule.scope), lambda href: _kept(href, rule))
+    if rule.child_of:
+        box = tree.has_class(rule.inside) if rule.inside else None
+        found = tree.child_links(F.col(html), tree.has_class(rule.child_of), box)
+    else:
+        found = markup.hrefs(F.col(html), rule.scope)
+    found = F.filter(found, lambda href: _kept(href, rule))
     found = F.transform(found, lambda href: _absolute(href, rule.host))
     if rule.within:
         found = F.filter(found, lambda link: link.contains(rule.within))
@@ -113,6 +107,34 @@ def list_items(pages: DataFrame, tag: str = "li", html: str = "html") -> DataFra
     return pages.select(*kept, markup.all_elements(F.col(html), tag).alias("items"))
 
 
+def whole_items(pages: DataFrame, tag: str = "li", html: str = "html") -> DataFrame:
+    """WEB-3 by nesting: the whole text of each item, of inner lists and what follows them too."""
+    kept = [name for name in pages.columns if name != html]
+    texts = tree.whole_texts(F.col(html), lambda node: node["name"] == tag)
+    return pages.select(*kept, texts.alias("items"))
+
+
+def grouped_values(
+    pages: DataFrame, group: str, label: str, value: str, columns: Mapping[str, str], html: str = "html",
+    *, part: bool = False,
+) -> DataFrame:
+    """WEB-4 by nesting: elements of class ``group`` hold one of class ``label`` and one of class
+    ``value``; the last group of a label wins, whether or not it has a value.  ``part``: labels
+    that hold the given one count."""
+    kept = [name for name in pages.columns if name != html]
+    (pairs,) = _free(kept, "pairs")
+    found = tree.group_values(F.col(html), *map(tree.has_class, (group, label, value)))
+    paired = pages.select(*kept, found.alias(pairs))
+    values = {name: markup.value_of(F.col(pairs), wanted, part=part) for name, wanted in columns.items()}
+    return paired.select(*kept, *(column.alias(name) for name, column in values.items()))
+
+
+def _free(taken: Sequence[str], *names: str) -> list[str]:
+    """Names like these that no column has."""
+    longest = max(map(len, taken), default=0)
+    return [name.ljust(longest + 1, "_") for name in names]
+
+
 def labelled_values(
     pages: DataFrame, pattern: str, columns: Mapping[str, str], html: str = "html"
 ) -> DataFrame:

@@ -461,6 +461,20 @@ _FROM_TABLES = {
     ),
 }
 
+_ENTRY = "replace(unnest(regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a>', 1)), '&amp;', '&')"
+_FROM_TABLES["web_child_links"] = """SELECT page_id, 'https://jobs.example' || href AS link
+    FROM (SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)"', 1)) AS href FROM pages)
+    WHERE page_id % 2 = 0 AND NOT starts_with(href, '/a')"""
+_FROM_TABLES["web_whole_items"] = f"""SELECT page_id,
+    CASE WHEN count(word) = 0 THEN 'Before  after' ELSE 'Before ' || string_agg('See this ' || word, '' ORDER BY seat)
+      || ' after|' || string_agg('See this ' || word, '|' ORDER BY seat) END AS items
+    FROM (SELECT page_id, {_ENTRY} AS word,
+          generate_subscripts(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1), 1) AS seat FROM pages)
+    GROUP BY page_id"""
+_FROM_STAR["web_grouped_values"] = """SELECT posting_key,
+    trim(CASE WHEN level IS NULL THEN company_industry ELSE level END) AS level, trim(scale) AS scale,
+    trim(place) AS place, CAST(NULL AS VARCHAR) AS "none" FROM raw"""
+
 _FROM_STAR["run_day_and_stream"] = """SELECT job_title, company_name, place, salary, job_url,
     CASE WHEN posting_key % 2 = 0 THEN 'files' ELSE 'day' END AS brought_by FROM raw"""
 _FROM_STAR["snk_split_write"] = "SELECT complete, source, count(*) AS n FROM std GROUP BY complete, source"

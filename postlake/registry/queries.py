@@ -546,6 +546,43 @@ def web_label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.labelled_values(pages, r'\b([a-z]+)="([^"]*)"', wanted)
 
 
+def _marked_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose list entries hold text before their link, on half of the pages within a box;
+    links under "/a" lie one element deeper; the list stands in an item of an outer one."""
+    html = F.regexp_replace("html", '<a href="/a([^"]*)">([^<]*)</a>', '<span><a href="/a$1">$2</a></span>')
+    html = F.regexp_replace(html, "<li>", '<li class="job title">See <b>this ')
+    box = F.when(F.col("page_id") % 2 == 0, '<nav class="body-box">').otherwise('<nav class="body-boxes">')
+    html = F.replace(html, F.lit("<nav>"), box)
+    html = F.regexp_replace(html, "(?s)<ul>(.*?)</ul>", "<ul><li>Before <ul>$1</ul> after</li></ul>")
+    return _table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+
+
+def web_child_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links that are children of an entry within a box, in whatever place."""
+    rule = web.LinkRule(child_of="title", inside="body-box", host="https://jobs.example")
+    loose = _marked_lists(spark, sf_dir).withColumn("html", F.replace("html", F.lit("<b>"), F.lit("")))
+    return web.links(loose, rule)
+
+
+def web_whole_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with the text of inner lists and what follows them; no end tag closes the "b"."""
+    return _joined(web.whole_items(_marked_lists(spark, sf_dir)), "items")
+
+
+def web_grouped_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings as pages of labels and values, read back by label."""
+    raw = raw_postings(spark, sf_dir)
+
+    def group(label: str, name: str):
+        shown = f'<div class="group"><div><p class="label"> {label}<div class="value">'
+        return F.concat(F.lit(shown), F.replace(F.trim(name), F.lit("&"), F.lit("<i>&amp;</i>")), F.lit("</div></div></div>"))
+
+    groups = [group("Level", "company_industry"), group("Size", "scale"), group("Level", "level"), group("Place", "place")]
+    html = F.concat_ws("\n", F.lit("<body><p>Postings<br>"), *groups)
+    wanted = {"level": "Level", "scale": "Size", "place": "Place", "none": "Other"}
+    return web.grouped_values(raw.select("posting_key", html.alias("html")), "group", "label", "value", wanted)
+
+
 QUERIES: dict[str, Query] = {
     "src_json_permissive": src_json_permissive,
     "snk_landing_roundtrip": snk_landing_roundtrip,
@@ -631,4 +668,7 @@ QUERIES: dict[str, Query] = {
     "web_title": web_title,
     "web_list_items": web_list_items,
     "web_label_values": web_label_values,
+    "web_child_links": web_child_links,
+    "web_whole_items": web_whole_items,
+    "web_grouped_values": web_grouped_values,
 }

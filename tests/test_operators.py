@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from postlake.functions import text
+from postlake.functions import text, tree
 from postlake.operators import aggregate, columns, filters, ranking, web
 from postlake.plans import gold
 from postlake.plans import silver as silver_plan
@@ -222,6 +222,68 @@ def test_fields_lists_and_labels(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "Senior", "9", None), (2, None, None, None)]
 
 
+NESTED = [
+    ("<li>a<ul><li>b</li></ul>c</li>", ["abc", "b"]),
+    ("<ul><li><b>x<li>y<ul><li>z</ul>w<!-- <li>no -->&amp;</ul>tail<script>'<li>'</script>", ["x", "yzw&", "z"]),
+    ("</ul></ul></li><li>q</li><LI> </LI><li/>r", ["q", "r"]),
+    ("<ul>" * 70 + "<li>deep" + "</ul>" * 70 + "<li>flat<p>one<p>two</li>x", ["deep", "flatonetwo"]),
+    ("no tag", []),
+    ("", []),
+    (None, None),
+]
+
+
+def test_items_by_nesting(spark):
+    pages = spark.createDataFrame([(i, html) for i, (html, _) in enumerate(NESTED)], "page_id int, html string")
+    found = {r.page_id: r["items"] for r in web.whole_items(pages.repartition(3)).collect()}
+    assert [found[i] for i in range(len(NESTED))] == [want for _, want in NESTED]
+    assert web.whole_items(pages.limit(0)).collect() == []
+
+
+def test_running_depth_equals_a_loop(spark):
+    import random
+
+    draw = random.Random(7)
+    lists = [[draw.choice((-1, 0, 1)) for _ in range(n)] for n in (0, 1, 31, 32, 33, 500)] + [[-1] * 40 + [1] * 40]
+
+    def loop(steps):
+        out, at = [], 0
+        for by in steps:
+            at = max(0, at + by)
+            out.append(at)
+        return out
+
+    rows = spark.createDataFrame([(x,) for x in lists], "x array<int>").select("x", tree.running_depth(F.col("x")).alias("d"))
+    assert all(r.d == loop(r.x) for r in rows.collect())
+
+
+def test_children_of_an_element_are_links_in_any_place(spark):
+    html = (
+        "<p class='title'>see <i>x</i> <a href=/1>1</a><a href='/2'>2</a>"
+        '<p class="title"><span><a href=/deep></a></span><br><a href=/4>'
+        "<section class='in'><div class='title'><a href='/5'>5</a><div class='title'><a href='/6'></a></div></div>"
+        "<div class='in'><h3 class='title'>t<a href='/7'></a></h3></div></section><h3 class='title'><a href='/8'></a></h3>"
+    )
+    pages = spark.createDataFrame([(1, html), (2, ""), (3, None)], "page_id int, html string")
+    found = lambda rule: [r.link for r in web.links(pages, rule).orderBy("page_id").collect()]
+    assert found(web.LinkRule(child_of="title")) == ["/1", "/2", "/4", "/5", "/6", "/7", "/8"]
+    assert found(web.LinkRule(child_of="title", inside="in")) == ["/5", "/6", "/7"]
+
+
+def test_labels_and_values_of_groups(spark):
+    html = (
+        "<div class='g'><div><span class='l'> Level </span></div><p class='v'>Sen<b>ior</b></p></div>"
+        "<div class='g'><i class=\"l\">Size</i></div><div class='g'><p class='v'>no label</div>"
+        "<div class='g'><p class='l'>Level in years<div class='v'>x<div>y</div>z</div></div>"
+    )
+    pages = spark.createDataFrame([(1, html), (2, ""), (3, None)], "pairs int, html string")
+    wanted = {"level": "Level", "size": "Size"}
+    whole = web.grouped_values(pages, "g", "l", "v", wanted)
+    assert sorted(map(tuple, whole.collect())) == [(1, "Senior", None), (2, None, None), (3, None, None)]
+    parts = web.grouped_values(pages, "g", "l", "v", wanted, part=True)
+    assert sorted(map(tuple, parts.collect()))[0] == (1, "xyz", None)
+
+
 def test_row_numbers_without_one_task(spark):
     rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"), (F.col("id") % 3).alias("tie")).repartition(5)
     order = [F.col("tie").desc(), F.col("v")]
