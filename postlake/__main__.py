@@ -24,6 +24,7 @@ def _arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--catalog")
     parser.add_argument("--row-level", action="store_true", help="the catalog has native MERGE")
     parser.add_argument("--buckets", type=int)
+    parser.add_argument("--title-index", action="store_true", help="keep an index of titles for searches")
     parser.add_argument("--schema-dir")
     parser.add_argument("--compat", action="store_true")
     parser.add_argument("--jdbc-url")
@@ -42,6 +43,7 @@ def main(argv: list[str] | None = None) -> None:
         buckets=args.buckets,
         schema_dir=args.schema_dir,
         compat=args.compat,
+        title_index=args.title_index,
     )
     spark = get_session(f"postlake-{args.step}")
     if args.step == "init":

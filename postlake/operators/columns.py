@@ -50,3 +50,9 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     if not frames:
         raise ValueError("nothing to unite")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def free_names(taken: Sequence[str], *names: str) -> list[str]:
+    """Names like these that none of the taken ones equals."""
+    longest = max(map(len, taken), default=0)
+    return [name.ljust(longest + 1, "_") for name in names]

@@ -6,7 +6,7 @@ many links or items one page has.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions import html as markup
 from postlake.functions import tree
+from postlake.operators.columns import free_names
 
 
 @dataclass(frozen=True)
@@ -122,19 +123,13 @@ def grouped_values(
     ``value``; the last group of a label wins, whether or not it has a value.  ``part``: labels
     that hold the given one count."""
     kept = [name for name in pages.columns if name != html]
-    (pairs,) = _free(kept, "pairs")
+    (pairs,) = free_names(kept, "pairs")
     found = tree.group_values(F.col(html), *map(tree.has_class, (group, label, value)))
     paired = pages.select(*kept, found.alias(pairs))
     values = {name: markup.value_of(F.col(pairs), wanted, part=part) for name, wanted in columns.items()}
     return paired.select(*kept, *(column.alias(name) for name, column in values.items()))
 
 
-def _free(taken: Sequence[str], *names: str) -> list[str]:
-    """Names like these that no column has."""
-    longest = max(map(len, taken), default=0)
-    return [name.ljust(longest + 1, "_") for name in names]
-
-
 def labelled_values(
     pages: DataFrame, pattern: str, columns: Mapping[str, str], html: str = "html"
 ) -> DataFrame:

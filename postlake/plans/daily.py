@@ -22,6 +22,7 @@ from postlake.plans import silver as silver_plan
 from postlake.session import stored
 from postlake.sinks import ledger
 from postlake.sinks import tables as sinks
+from postlake.sinks.title_index import TitleIndex, upsert_indexed
 from postlake.sources.landing import day_path, read_landing
 from postlake.sources.registry import SOURCES, Source
 from postlake.sources.tables import read_day, read_united_day
@@ -40,6 +41,7 @@ class Lake:
     23:59:59, one row per posting before incomplete ones are split off, and
     gold reading by first load instead of last change.  ``prefix`` tells
     several lakes of one catalog apart: it comes before every namespace.
+    ``title_index`` keeps trigram postings of the facts' titles, on a plain catalog.
     """
 
     landing: str
@@ -50,6 +52,10 @@ class Lake:
     schema_dir: str | None = None
     compat: bool = False
     prefix: str = ""
+    title_index: bool = False
+
+    def titles(self) -> TitleIndex:
+        return TitleIndex(self.table("gold", "title_index"))
 
     def table(self, namespace: str, name: str) -> str:
         return ".".join(part for part in (self.catalog, self.prefix + namespace, name) if part)
@@ -217,7 +223,11 @@ def run_gold(
     put(gold.dim_job_category(rows), "dim_job_category", "job_category_id", set_null=True)
     put(gold.dim_skill(rows), "dim_skill", "skill_id", set_null=True)
     put(gold.dim_level(rows), "dim_level", "level_id", set_null=True)
-    put(gold.fact_job_postings(rows), "fact_job_postings", "job_id", partition_ts="ingested_at")
+    facts = gold.fact_job_postings(rows)
+    if lake.title_index and not lake.row_level:
+        upsert_indexed(facts, lake.table("gold", "fact_job_postings"), "job_id", lake.titles(), parts=lake.buckets)
+    else:
+        put(facts, "fact_job_postings", "job_id", partition_ts="ingested_at")
     links = gold.bridge_job_skills(rows, one_row_per_job=True)
     sinks.append_new(
         links,

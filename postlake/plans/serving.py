@@ -13,6 +13,7 @@ from postlake.operators import aggregate, ranking
 from postlake.operators.filters import title_like
 from postlake.operators.lookup import star_lookup
 from postlake.session import stored
+from postlake.sinks.title_index import TitleIndex
 
 # --- Fixed values: columns of a search hit -----------------------------------------
 HIT = (
@@ -42,16 +43,18 @@ class Star:
         return cls(**{name: spark.table(f"{namespace}.{name}") for name in cls.__dataclass_fields__})
 
 
-def _hits(star: Star, keyword: str, limit: int) -> DataFrame:
-    """The newest matching postings, then their names.
+def _hits(star: Star, keyword: str, limit: int, facts: DataFrame | None = None) -> DataFrame:
+    """The newest matching postings, then their names; ``facts``: where to look, if not
+    among all.
 
     The lookups keep every row, so the limit is taken before them, and the hits
     are stored: they run on ``limit`` rows instead of all matches.
     """
     if limit > MOST_HITS:
         raise ValueError(f"a search lists at most {MOST_HITS} hits")
-    newest = ranking.latest_first(star.fact_job_postings, ["job_id"])
-    found = star.fact_job_postings.filter(title_like(keyword)).orderBy(*newest).limit(limit)
+    facts = star.fact_job_postings if facts is None else facts
+    newest = ranking.latest_first(facts, ["job_id"])
+    found = facts.filter(title_like(keyword)).orderBy(*newest).limit(limit)
     return star_lookup(
         stored(found, "hits"),
         [
@@ -69,6 +72,17 @@ def search(star: Star, keyword: str, limit: int = 100) -> DataFrame:
     return hits.orderBy(*ranking.latest_first(hits, ["job_id"])).select(*HIT)
 
 
+def search_indexed(
+    star: Star, index: TitleIndex, parts: int, keyword: str, limit: int = 100
+) -> DataFrame:
+    """SRV-1 by the index of titles, where ``star`` holds a keyed fact table of ``parts`` parts."""
+    if limit > MOST_HITS:
+        raise ValueError(f"a search lists at most {MOST_HITS} hits")
+    facts = index.narrowed(star.fact_job_postings, parts, keyword, limit)
+    hits = _hits(star, keyword, limit, facts)
+    return hits.orderBy(*ranking.latest_first(hits, ["job_id"])).select(*HIT)
+
+
 def search_pages(star: Star, keyword: str, limit: int = 100, size: int = 5) -> DataFrame:
     """SRT-2 and FMT-1: a search as shown to a reader, page by page."""
     hits = _hits(star, keyword, limit)

@@ -498,6 +498,8 @@ _FROM_STAR["srv_every_page"] = """SELECT job_id, CAST(ceil(row_number() OVER (OR
     AS INTEGER) AS page, CAST(ceil(count(*) OVER () / 5.0) AS INTEGER) AS pages
     FROM fact WHERE lower(job_title) LIKE '%data%'"""
 _FROM_STAR["srv_search_bound"] = _FROM_STAR["srv_search"]
+_FROM_STAR["srv_search_indexed"] = _FROM_STAR["srv_search"]
+_FROM_STAR["srv_search_indexed_wildcard"] = _FROM_STAR["srv_search"].replace("'%data%'", "'%d_ta%eng%'")
 _FROM_STAR["dq_dup_dim_rows"] = " UNION ALL ".join(
     f"SELECT '{key}' AS key, {key} AS id, count(*) AS duplicate_count FROM every_fact "
     f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1"

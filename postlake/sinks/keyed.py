@@ -14,7 +14,7 @@ names them until they are in place; the next upsert finishes what a lost driver
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,11 +111,20 @@ def _note_changes(changed: DataFrame, table: str, key: str, ts: str) -> None:
 
 
 def upsert_keyed(
-    source: DataFrame, table: str, key: str, *, parts: int | None = None, feed_ts: str | None = None, **rule
+    source: DataFrame,
+    table: str,
+    key: str,
+    *,
+    parts: int | None = None,
+    feed_ts: str | None = None,
+    before: Callable[[DataFrame, DataFrame | None], None] | None = None,
+    **rule,
 ) -> list[int]:
     """Upsert into a keyed table, created on the first run; the parts that were rewritten.
 
     ``feed_ts`` names a column with the time of a row's last change and keeps a change feed.
+    ``before`` is called with the changed rows, and with the present rows of the touched parts
+    (None on the first run), before they are replaced.
     """
     spark = source.sparkSession
     batch = stored(require_unique(source, key), "upsert")
@@ -123,6 +132,8 @@ def upsert_keyed(
         parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
         if feed_ts:
             _note_changes(batch.withColumn(KEY_PARTITION, key_part(key, parts)), table, key, feed_ts)
+        if before:
+            before(batch, None)
         create(batch, table, key, parts)
         return touched(batch, key, parts)
     settle(spark, table, key)
@@ -136,6 +147,8 @@ def upsert_keyed(
     path = store(merged, "merged")
     if feed_ts:
         _note_changes(spark.read.schema(merged.schema).parquet(path).where(_CHANGED), table, key, feed_ts)
+    if before:
+        before(spark.read.schema(merged.schema).parquet(path).where(_CHANGED).drop(_CHANGED), target)
     overwrite_parts(spark, path, table, key)
     return wanted
 
