@@ -76,6 +76,8 @@ def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
 def _resolved(anchor: np.ndarray, code: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each window the smallest doc that holds it, where that one holds it, and whether
     it is smaller than the window's own."""
+    if not len(doc):
+        return doc, start, np.zeros(0, dtype=bool)
     order = np.argsort(anchor ^ (code << np.uint64(16)), kind="stable")
     a, c = anchor[order], code[order]
     begin = np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])
@@ -279,3 +281,18 @@ def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return without_factors(docs, factors(docs, doc_id, text), doc_id, text)
 
 
+
+
+def oracle() -> str:
+    """DuckDB SQL of ``without_copies`` with a digest of what is left: every window of every
+    document beside the smallest document that holds it."""
+    return r"""WITH texts AS (SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    starts AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM texts),
+    windows AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS win FROM starts),
+    copied AS (SELECT r, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY win) < doc_id),
+    gone AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS k FROM copied),
+    words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM texts),
+    kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS rest FROM words ANTI JOIN gone USING (r, k) GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(rest, '')) AS kept_sha256 FROM texts LEFT JOIN kept USING (r)"""

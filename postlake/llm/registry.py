@@ -116,5 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": line_runs.oracle(),
+    "op9_substring_dedup": lz_dedup.oracle(),
+    "op10_quality_rules": rule_ledger.oracle(),
     "op11_embedding_near_dedup": lattice.oracle(),
 }

@@ -123,3 +123,23 @@ def ablation(rows: DataFrame, policy: int = LATEST) -> DataFrame:
         count(fails & others).alias("only_this"),
         count(others).alias("kept_without"),
     )
+
+
+def oracle() -> str:
+    """DuckDB SQL of the ledger under the latest policy, from the texts themselves."""
+    bits = " + ".join(f"CASE WHEN {condition} THEN {1 << i} ELSE 0 END" for i, (_, condition) in enumerate(RULES))
+    fails = {version: " OR ".join(c for name, c in RULES if name in names) for version, names in {0: BASE, 1: POLICIES[LATEST]}.items()}
+    return rf"""WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM texts),
+    starts AS (SELECT r, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM words),
+    windows AS (SELECT r, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS win FROM starts),
+    twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, win) > 1),
+    repeated AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + {WINDOW})) AS k FROM twice) GROUP BY r),
+    measures AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+        FROM words LEFT JOIN repeated USING (r))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({fails[0]}) AS base_failed,
+        NOT ({fails[1]}) AS kept, CAST({bits} AS BIGINT) AS failed FROM measures"""
