@@ -6,9 +6,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from postlake.fixtures import raw_postings
 from postlake.operators.filters import title_like
+from postlake.plans import daily
 from postlake.sinks import keyed
+from postlake.sinks import tables as sinks
 from postlake.sinks.title_index import GRAM_PARTITION, TitleIndex, grams_of_keyword, upsert_indexed
+from postlake.sources.landing import write_landing
+from postlake.sources.registry import get_source
 
 SCHEMA = "job_id string, job_title string, ingested_at date, other string"
 WORDS = ["Data", "data engineer", "Kỹ sư", "ab", "100% remote", "c_c", "back\\slash", "", None, "DATABASE", "Aa"]
@@ -76,3 +81,21 @@ def test_unchanged_rows_add_nothing_and_a_cut_off_load_is_mended(spark):
     empty = spark.createDataFrame([], SCHEMA)
     upsert_indexed(empty, "empty_facts", "job_id", TitleIndex("empty_titles"), parts=2)
     assert TitleIndex("empty_titles").newest(spark, "data", 5).count() == 0
+
+
+def test_a_daily_run_keeps_the_index(spark, tmp_path, sf_dir):
+    day, source = dt.date(2024, 1, 15), get_source("careerviet")
+    lake = daily.Lake(f"{tmp_path}/landing", f"{tmp_path}/aside", buckets=8, prefix="titled_", title_index=True)
+    sinks.create_namespaces(spark, f"{tmp_path}/tables", prefix=lake.prefix)
+    rows = raw_postings(spark, sf_dir).limit(300).select(
+        "job_title", "company_name", "place", "salary", "experience", "level", "deadline", "job_url",
+        F.col("company_industry").alias("industry"), F.split("skills", ",").alias("skills"),
+    )
+    write_landing(rows, lake.landing, source.name, day)
+    daily.run_day(spark, lake, day, [source])
+    once = spark.table(lake.titles().table).count()
+    daily.run_day(spark, lake, day, [source])
+    facts, index = spark.table(lake.table("gold", "fact_job_postings")), lake.titles()
+    want = found(facts.where(title_like("data")))
+    assert want and found(index.narrowed(facts, 8, "data", 7).where(title_like("data"))) == want
+    assert once and spark.table(index.table).count() >= once
