@@ -10,13 +10,18 @@ share out of the way.  Two sets of similarity 4/5 share a shingle among the firs
 n - ceil(4n/5) + 1 of each (the *prefix*), and from the place of a shared one on enough must be
 left in both.  Such pairs are candidates, and the whole sets decide.
 
+The first candidates come from SimHash (``simhash.py``): a node's fingerprint is that of one of its
+texts, nodes of one fingerprint meet the least of them, and fingerprints at most two bits apart
+meet where the BK-trees link them.  So copies with a small edit lie in one class before shingles
+are joined, and those joins are left to what two bits do not reach.
+
 What many nodes hold is not compared all with all.  First every holder of a shingle meets
 one of them, the least by a hash, so a group of near copies sends one row for each of its
 members; then, under other hashes, again.  Only shingles whose holders lie in several
 classes after that have their pairs of different classes compared.  Pairs in one class
 are linked already, so nothing is lost.
 
-Before that, a sketch of 256 counters bounds what two sets can have in common.  Whole sets are made
+Before whole sets are compared, a sketch of 256 counters bounds what two sets can have in common.  Whole sets are made
 again from the texts, for the nodes of the pairs that are left; tables are deleted as soon as
 what follows from them is written.
 
@@ -35,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlake.llm import simhash
 from postlake.llm.common import batches, free_names, in_python, mixed, span_hashes, staged, text_key, text_of, unstaged, word_hashes
 from postlake.llm.components import components
 
@@ -96,12 +102,13 @@ def commonness(keyed: DataFrame, size: int) -> np.ndarray:
 
 
 def _prefixes(keyed: DataFrame, size: int) -> DataFrame:
-    """The keys, node, n (of shingles), the prefix in order and the sketch."""
+    """The keys, node, n (of shingles), the prefix in order, the sketch and the SimHash fingerprint."""
     common = commonness(keyed, size)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(found, "_text"):
-            which, codes = shingle_sets(batch["_text"].to_pylist(), size)
+            texts = batch["_text"].to_pylist()
+            which, codes = shingle_sets(texts, size)
             n = np.bincount(which, minlength=batch.num_rows)
             node = mixed(_sums(mixed(codes ^ np.uint64(0x5851F42D4C957F2D)), n) + n.astype(np.uint64))
             counters = np.bincount(which * SKETCH + (codes % np.uint64(SKETCH)).astype(np.int64), minlength=batch.num_rows * SKETCH)
@@ -114,13 +121,14 @@ def _prefixes(keyed: DataFrame, size: int) -> DataFrame:
                 [
                     *(batch[c] for c in _KEYS), pa.array(node.view(np.int64)), pa.array(n.astype(np.int32)), prefix,
                     pa.array([x.tobytes() for x in sketches], pa.binary()),
+                    pa.array([simhash.fingerprint(t, size) for t in texts], pa.int64()),
                 ],
-                [*_KEYS, "node", "n", "prefix", "sketch"],
+                [*_KEYS, "node", "n", "prefix", "sketch", "fp"],
             )
 
     kinds = dict(keyed.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in _KEYS)
-    return in_python(keyed.select(*_KEYS, "_text"), run, f"{schema}, node long, n int, prefix array<long>, sketch binary")
+    return in_python(keyed.select(*_KEYS, "_text"), run, f"{schema}, node long, n int, prefix array<long>, sketch binary, fp long")
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -144,6 +152,16 @@ def _several(rows: DataFrame) -> DataFrame:
 _CAN_BE = "x.class != y.class AND 9 * least(x.n - x.i, y.n - y.i) >= 4 * (x.n + y.n)"
 
 
+def near_prints(nodes: DataFrame) -> DataFrame:
+    """(a, b) nodes that SimHash calls near: of one fingerprint, or of two that the BK-trees link."""
+    prints = staged(nodes.groupBy("fp").agg(F.min("node").alias("center")), "prints")
+    same = nodes.join(prints, "fp").where("node != center").select(F.col("node").alias("a"), F.col("center").alias("b"))
+    near = simhash.links(prints.select("fp"))
+    for end in ("a", "b"):
+        near = near.join(prints.select(F.col("fp").alias(end), F.col("center").alias(f"center_{end}")), end)
+    return same.union(near.select("center_a", "center_b"))
+
+
 def _star(rows: DataFrame, turn: int) -> DataFrame:
     """Every holder of a shingle with the least of them by a hash."""
     least = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), "node", "n", "i", "class")).alias("y")
@@ -177,32 +195,42 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return in_python(pairs, run, "a long, b long")
 
 
-def links(nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame | None:
+def _alike(candidates: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Those of the candidate pairs (a, b) whose whole sets have a similarity of 4/5."""
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    pairs = staged(_possible(candidates.select(low, high).distinct(), nodes).select("a", "b"), "pairs")
+    # Written, so that its size is known: if it is small, no text moves for it.
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = staged(nodes.select("node", "least.*").join(asked, "node", "left_semi"), "wanted")
+    sets = staged(_sets(texts.join(wanted, list(_KEYS)), size).dropDuplicates(["node"]), "sets")
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("codes").alias("of_a")), "a")
+    both = left.join(sets.select(F.col("node").alias("b"), F.col("codes").alias("of_b")), "b")
+    alike = 9 * F.size(F.array_intersect("of_a", "of_b")) >= 4 * (F.size("of_a") + F.size("of_b"))
+    found = staged(both.where(alike).select("a", "b"), "alike")
+    unstaged(pairs, wanted, sets)
+    return found
+
+
+def _classed(held: DataFrame, found: DataFrame) -> DataFrame:
+    """The holders of shingles with the class that the links found so far put them in."""
+    named = held.join(components(found), "node", "left")
+    return named.select("node", "n", F.coalesce("component", "node").alias("class"), "i", "h")
+
+
+def links(nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(a, b) nodes that join all nodes of similarity 4/5; ``nodes`` has one row of each, with
     the keys of one of its texts."""
-    rows = nodes.select("node", "n", F.col("node").alias("class"), F.posexplode("prefix").alias("i", "h"))
-    rows = staged(_several(rows), "shingles")
-    found: DataFrame | None = None
+    held = nodes.select("node", "n", F.posexplode("prefix").alias("i", "h"))
+    found = _alike(near_prints(nodes), nodes, texts, size)
+    rows = staged(_several(_classed(held, found)), "shingles")
     for turn in range(STARS + 1):
         if rows.isEmpty():
             break
         candidates = _star(rows, turn) if turn < STARS else _crossed(rows)
-        low, high = F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
-        pairs = staged(_possible(candidates.select(low, high).distinct(), nodes).select("a", "b"), "pairs")
-        # Written, so that its size is known: if it is small, no text moves for it.
-        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = staged(nodes.select("node", "least.*").join(asked, "node", "left_semi"), "wanted")
-        sets = staged(_sets(texts.join(wanted, list(_KEYS)), size).dropDuplicates(["node"]), "sets")
-        left = pairs.join(sets.select(F.col("node").alias("a"), F.col("codes").alias("of_a")), "a")
-        both = left.join(sets.select(F.col("node").alias("b"), F.col("codes").alias("of_b")), "b")
-        alike = 9 * F.size(F.array_intersect("of_a", "of_b")) >= 4 * (F.size("of_a") + F.size("of_b"))
-        more = staged(both.where(alike).select("a", "b"), "alike")
-        unstaged(pairs, wanted, sets)
-        found = more if found is None else found.union(more)
+        more = _alike(candidates.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), nodes, texts, size)
+        found = found.union(more)
         if turn < STARS:
-            named = components(found)
-            again = rows.drop("class").join(named, "node", "left")
-            following = staged(_several(again.select("node", "n", F.coalesce("component", "node").alias("class"), "i", "h")), "shingles")
+            following = staged(_several(_classed(rows.drop("class"), found)), "shingles")
             unstaged(rows)
             rows = following
     unstaged(rows)
@@ -217,13 +245,11 @@ def one_of_each(docs: DataFrame, size: int = 5, doc_id: str = "doc_id", text: st
     values = (F.col(doc_id).isNull(), F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), text_key(text))
     keyed = docs.withColumns(dict(zip(own, values, strict=True)))
     texts = keyed.select(*(F.col(name).alias(key) for name, key in zip(own, _KEYS, strict=True)), text_of(text).alias("_text"))
-    of_node = F.min(F.struct(*_KEYS)).alias("least"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"), F.any_value("sketch").alias("sketch")
+    of_node = F.min(F.struct(*_KEYS)).alias("least"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"), F.any_value("sketch").alias("sketch"), F.min_by("fp", F.struct(*_KEYS)).alias("fp")
     nodes = staged(_prefixes(texts, size).groupBy("node").agg(*of_node), "nodes")
     found = links(nodes, texts, size)
-    least = nodes.select("node", "least")
-    if found is not None:
-        by_class = least.join(components(found), "node", "left").withColumn("class", F.coalesce("component", "node"))
-        least = by_class.groupBy("class").agg(F.min("least").alias("least"))
+    by_class = nodes.select("node", "least").join(components(found), "node", "left").withColumn("class", F.coalesce("component", "node"))
+    least = by_class.groupBy("class").agg(F.min("least").alias("least"))
     chosen = least.select(*(F.col(f"least.{key}").alias(name) for name, key in zip(own, _KEYS, strict=True)))
     nth = F.row_number().over(Window.partitionBy(*own).orderBy(own[1]))
     kept = keyed.join(chosen, own, "left_semi").withColumn(number, nth).where(F.col(number) == 1)

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from postlake.llm import set_join
+from postlake.llm import set_join, simhash
 
 
 def kept_by_all_pairs(rows):
@@ -63,3 +63,29 @@ def test_near_dedup_of_documents(spark):
     want, pairs = kept_by_all_pairs(sorted(map(tuple, table.collect())))
     assert pairs
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, table, "").collect()) == want
+
+
+def test_near_dedup_compares_what_simhash_finds(spark, monkeypatch):
+    """Fingerprints at most two bits apart are the first candidates, found by the BK-trees and held to 4/5."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(500)]
+    long = rng.choices(words, k=4000)
+    texts = [" ".join(long), " ".join([*long, "end"]), " ".join(rng.choices(words, k=400)), "a b c d e f", "a b c d e f a b c d e f"]
+    rows = [(i, t, simhash.fingerprint(t.encode(), 5)) for i, t in enumerate(texts)]
+    near = {(i, j) for i, _, x in rows for j, _, y in rows if i < j and bin((x ^ y) & (2**64 - 1)).count("1") <= 2}
+    assert (0, 1) in near
+    nodes = spark.createDataFrame([(i, fp) for i, _, fp in rows], "node long, fp long")
+    assert {(min(r), max(r)) for r in map(tuple, set_join.near_prints(nodes).collect())} == near
+
+    found, inner = [], set_join.near_prints
+
+    def seen(nodes):
+        pairs = inner(nodes)
+        found.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(set_join, "near_prints", seen)
+    table = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    want, _ = kept_by_all_pairs([(i, t) for i, t, _ in rows])
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, table, "").collect()) == want
+    assert found == [len(near)]
