@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from postlake.fixtures import raw_postings
 from postlake.operators import standardize as std
 from postlake.plans.silver import SILVER_COLUMNS, to_silver
 
@@ -254,3 +255,9 @@ def test_one_step_at_a_time_equals_the_chain(spark, sf_dir):
     same = chain.select(*single.columns)
     assert chain.columns == list(SILVER_COLUMNS)
     assert single.exceptAll(same).isEmpty() and same.exceptAll(single).isEmpty()
+
+
+def test_postings_are_dealt_over_tasks(spark, sf_dir):
+    """A file of one row group is not standardized by one task."""
+    tasks = raw_postings(spark, sf_dir).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 1
