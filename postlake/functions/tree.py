@@ -32,6 +32,7 @@ CLOSES_P = (
 _UNREAD = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 _TAG = r"</?[a-zA-Z][a-zA-Z0-9-]*\b[^>]*>"
 _BLOCK = 32
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 Test = Callable[[Column], Column]
 
@@ -44,7 +45,8 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 def has_class(name: str) -> Test:
     """Start tags of a class."""
     value = rf"[^\"'>]*(?<![\w-]){name}(?![\w-])[^\"'>]*"
-    return lambda node: node["tag"].rlike(rf"(?i)^<[a-z][^>]*?\sclass\s*=\s*[\"']{value}[\"']")
+    # Most tags have no attribute: those need no search.
+    return lambda node: node["tag"].contains("=") & node["tag"].rlike(rf"(?i)^<[a-z][^>]*?\sclass\s*=\s*[\"']{value}[\"']")
 
 
 def running_depth(steps: Column) -> Column:
@@ -77,19 +79,19 @@ def running_depth(steps: Column) -> Column:
     return bound(steps, summed)
 
 
-def nodes(html: Column) -> Column:
+def nodes(html: Column, *, deep: bool = True) -> Column:
     """All tags of a page in order: ``name``, ``tag``, ``text`` (what follows it), ``opens``,
-    ``depth`` and ``block`` (levels after the tag).  Comments, scripts and styles are left out."""
+    ``depth`` (if ``deep``) and ``block`` (levels after the tag).  Comments, scripts and styles are left out."""
 
     def parsed(page: Column) -> Column:
         found = F.regexp_extract_all(page, F.lit(_TAG), F.lit(0))
-        pieces = F.split(page, _TAG, -1)
-        texts = F.slice(pieces, F.lit(2), F.size(pieces))
+        # A page has at most as many pieces more than one as characters: all but the first.
+        texts = F.slice(F.split(page, _TAG, -1), F.lit(2), F.char_length(page) + 1)
         return F.zip_with(
             found,
             texts,
             lambda tag, text: F.struct(
-                F.lower(F.regexp_extract(tag, r"^</?([a-zA-Z][a-zA-Z0-9-]*)", 1)).alias("name"),
+                F.translate(F.regexp_extract(tag, r"^</?([a-zA-Z][a-zA-Z0-9-]*)", 1), _UPPER, _UPPER.lower()).alias("name"),
                 tag.alias("tag"),
                 text.alias("text"),
                 (~tag.startswith("</")).alias("opens"),
@@ -98,14 +100,17 @@ def nodes(html: Column) -> Column:
 
     def stepped(tags: Column) -> Column:
         side = lambda t: F.when(t["name"].isin(*VOID), 0).when(t["opens"], 1).otherwise(-1)
-        depth = running_depth(F.transform(tags, side))
+        own = ("name", "tag", "text", "opens")
         block = running_depth(F.transform(tags, lambda t: F.when(t["name"].isin(*LOOSE), 0).otherwise(side(t))))
+        if not deep:
+            return F.zip_with(tags, block, lambda t, b: F.struct(*(t[c].alias(c) for c in own), b.alias("block")))
+        depth = running_depth(F.transform(tags, side))
         levels = F.zip_with(depth, block, lambda d, b: F.struct(d.alias("depth"), b.alias("block")))
         return F.zip_with(
             tags,
             levels,
             lambda t, at: F.struct(
-                *(t[c].alias(c) for c in ("name", "tag", "text", "opens")),
+                *(t[c].alias(c) for c in own),
                 *(at[c].alias(c) for c in ("depth", "block")),
             ),
         )
@@ -161,12 +166,12 @@ def _slice(page: Column, span: Column) -> Column:
 
 
 def _text(page: Column, span: Column) -> Column:
-    return inner_text(F.array_join(F.transform(_slice(page, span), lambda n: n["text"]), ""))
+    return bound(F.array_join(F.transform(_slice(page, span), lambda n: n["text"]), ""), inner_text)
 
 
 def whole_texts(html: Column, wanted: Test) -> Column:
     """Whole texts, inner elements included, of the wanted elements; blanks dropped."""
-    texts = bound(nodes(html), lambda page: F.transform(spans(page, wanted), lambda s: _text(page, s)))
+    texts = bound(nodes(html, deep=False), lambda page: F.transform(spans(page, wanted), lambda s: _text(page, s)))
     return F.when(html.isNotNull(), F.filter(texts, lambda text: text != ""))
 
 
@@ -210,4 +215,4 @@ def group_values(html: Column, group: Test, label: Test, value: Test) -> Column:
     def of_page(page: Column) -> Column:
         return F.transform(spans(page, group), lambda s: bound(_slice(page, s), of_group))
 
-    return bound(nodes(html), of_page)
+    return bound(nodes(html, deep=False), of_page)

@@ -311,3 +311,15 @@ def test_a_bound_keyword_is_no_sql(spark, sf_dir):
     star = StagedStar(spark, sf_dir)
     for keyword in ("data", "DATA", "da%an", "' OR '1'='1", ""):
         assert search_bound(spark, star, keyword).collect() == search(star, keyword).collect()
+
+
+def test_nesting_counts_only_the_levels_asked_for(spark):
+    html = '<div>a<p>x &amp; y<p>z</div><A href="/q">l</a></i><b>t'
+    rows = spark.createDataFrame([(html,), ("",), ("no tag",), (None,)], "html string")
+    deep = rows.select(tree.nodes(F.col("html")).alias("n")).collect()
+    flat = rows.select(tree.nodes(F.col("html"), deep=False).alias("n")).collect()
+    assert [n and [x.asDict() for x in n] for (n,) in flat] == [
+        n and [{k: v for k, v in x.asDict().items() if k != "depth"} for x in n] for (n,) in deep
+    ]
+    assert [x.name for x in flat[0].n] == ["div", "p", "p", "div", "a", "a", "i", "b"]
+    assert [x.text for x in flat[0].n] == ["a", "x &amp; y", "z", "", "l", "", "", "t"]
