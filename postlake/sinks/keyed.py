@@ -73,7 +73,8 @@ def _pending(spark: SparkSession, table: str) -> str | None:
 def _put(spark: SparkSession, table: str, path: str, by: str) -> None:
     columns = spark.table(table).columns
     rows = spark.read.schema(spark.table(table).schema).parquet(path).select(*columns)
-    into = rows.repartition(parts_of(spark, table), by).write.option("partitionOverwriteMode", "dynamic")
+    # Stored by a join on the key, a file's rows are of one part: no exchange to gather them.
+    into = rows.write.option("partitionOverwriteMode", "dynamic")
     into.insertInto(table, overwrite=True)
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
 
@@ -127,7 +128,9 @@ def upsert_keyed(
     (None on the first run), before they are replaced.
     """
     spark = source.sparkSession
-    batch = stored(require_unique(source, key), "upsert")
+    batch = stored(source, "upsert")
+    # Keys alone are exchanged for the check; nothing is changed before it.
+    require_unique(batch.select(key), key).write.format("noop").mode("overwrite").save()
     if not spark.catalog.tableExists(table):
         parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
         if feed_ts:

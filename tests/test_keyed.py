@@ -94,6 +94,34 @@ def test_an_overwrite_that_was_cut_off_is_finished(spark):
     assert not keyed.settle(spark, "cut_off", "k")
 
 
+def test_only_keys_are_exchanged_to_check_them(spark, monkeypatch):
+    checked, inner = [], keyed.require_unique
+
+    def seen(rows, key, within=()):
+        checked.append(rows.columns)
+        return inner(rows, key, within)
+
+    monkeypatch.setattr(keyed, "require_unique", seen)
+    keyed.upsert_keyed(rows_of(spark, 50, a="'a'"), "narrow_check", "k", parts=PARTS)
+    keyed.upsert_keyed(rows_of(spark, 9, a="'z'"), "narrow_check", "k")
+    assert checked == [["k"], ["k"]]
+    assert spark.table("narrow_check").where("a = 'z'").count() == 9
+    with pytest.raises(Exception, match="duplicate k in upsert source: 3"):
+        keyed.upsert_keyed(spark.createDataFrame([("3", "x"), ("3", "y")], "k string, a string"), "narrow_check", "k")
+    assert spark.table("narrow_check").count() == 50
+
+
+def test_stored_rows_are_put_in_place_without_an_exchange(spark, monkeypatch):
+    keyed.upsert_keyed(rows_of(spark, 400, a="'a'"), "put_back", "k", parts=PARTS)
+    frame = type(spark.range(1))
+    monkeypatch.setattr(frame, "repartition", lambda *_: pytest.fail("rows that lie by part were exchanged"))
+    keyed.upsert_keyed(rows_of(spark, 300, a="'z'"), "put_back", "k")
+    monkeypatch.undo()
+    for part, files in files_of(spark, "put_back").items():
+        assert {int(path.rsplit("_", 1)[1].split(".")[0]) for path, _ in files} == {part}
+    assert {r.a: r["count"] for r in spark.table("put_back").groupBy("a").count().collect()} == {"a": 100, "z": 300}
+
+
 def test_upsert_of_all_kinds_of_rows(spark):
     keyed.upsert_keyed(rows_of(spark, 0, a="'a'"), "from_nothing", "k", parts=PARTS)
     assert spark.table("from_nothing").count() == 0
