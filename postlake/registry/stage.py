@@ -32,7 +32,7 @@ def staged(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataF
     """The named table; made and written on first use in this session."""
     path = staging_path(spark, sf_dir, name)
     if path not in _tables:
-        make().write.mode("overwrite").parquet(path)
+        make().write.mode("overwrite").option("compression", "zstd").parquet(path)
         _tables[path] = spark.read.parquet(path)
     return _tables[path]
 

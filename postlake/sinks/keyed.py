@@ -14,6 +14,7 @@ names them until they are in place; the next upsert finishes what a lost driver
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,8 @@ KEY_PARTITION = "key_part"
 CHANGE_DAY = "change_date"
 PENDING = "postlake.pending"
 _CHANGED = "_row_changed"
+FILE_ROWS = 1 << 20
+"""Rows that one task sorts, in memory, when a table is created."""
 
 
 def key_part(key: str, parts: int) -> Column:
@@ -43,13 +46,16 @@ def parts_of(spark: SparkSession, table: str) -> int:
     return int(rows[0].data_type)
 
 
-def _laid_out(rows: DataFrame, by: str, parts: int) -> DataFrame:
-    return rows.withColumn(KEY_PARTITION, key_part(by, parts)).repartition(parts, by)
+def _laid_out(rows: DataFrame, by: str, parts: int, size: int = 0) -> DataFrame:
+    """Each task gets rows of one part; ``size`` rows or fewer make more tasks where parts are large."""
+    tasks = parts * max(1, math.ceil(size / (parts * FILE_ROWS)))
+    return rows.withColumn(KEY_PARTITION, key_part(by, parts)).repartition(tasks, by)
 
 
-def create(rows: DataFrame, table: str, by: str, parts: int) -> None:
-    writer = _laid_out(rows, by, parts).write.format("parquet").partitionBy(KEY_PARTITION)
-    writer.bucketBy(parts, by).sortBy(by).saveAsTable(table)
+def create(rows: DataFrame, table: str, by: str, parts: int, size: int = 0) -> None:
+    """``size``: number of rows, where it is known."""
+    writer = _laid_out(rows, by, parts, size).write.format("parquet").partitionBy(KEY_PARTITION)
+    writer.option("compression", "zstd").bucketBy(parts, by).sortBy(by).saveAsTable(table)
 
 
 def touched(batch: DataFrame, by: str, parts: int) -> list[int]:
@@ -137,7 +143,7 @@ def upsert_keyed(
             _note_changes(batch.withColumn(KEY_PARTITION, key_part(key, parts)), table, key, feed_ts)
         if before:
             before(batch, None)
-        create(batch, table, key, parts)
+        create(batch, table, key, parts, batch.count())
         return touched(batch, key, parts)
     settle(spark, table, key)
     parts = parts_of(spark, table)

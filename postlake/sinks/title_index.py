@@ -4,7 +4,8 @@ A row of the index says that since load ``version`` the title of a posting holds
 (``holds`` false) that it no longer does; the latest row of a trigram and posting counts.  Loads only
 append, so a load costs what it changes.  Rows lie in partitions by a hash of the trigram, sorted by
 it within their files: a search reads one trigram's rows.  They carry title and time, so the search is
-verified and cut to the newest before a fact is read.
+verified and cut to the newest before a fact is read.  Postings are dealt out before their trigrams
+are taken; a slice of them is sorted and written where it is, so no trigram's row is exchanged.
 
 The index is written before the facts are replaced: a load that was cut off leaves entries that its
 rerun writes again under a later version.  Until then a hit may be missing that such an entry
@@ -13,6 +14,7 @@ displaced, but none is wrong: facts are compared with the keyword once more.  Ke
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -26,6 +28,8 @@ from postlake.sinks import keyed
 GRAM_PARTITION = "gram_part"
 LOADS = "postlake.loads"
 PARTS = "postlake.parts"
+SLICE_ROWS = 1 << 17
+"""Postings whose trigrams one task sorts, in memory, and writes to a file for each partition."""
 
 
 def grams(title: Column) -> Column:
@@ -60,9 +64,7 @@ class TitleIndex:
         """The index of all facts, in place of any earlier one."""
         spark = facts.sparkSession
         spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        held = F.explode(grams(F.col(self.title))).alias("gram")
-        rows = facts.select(held, F.lit(True).alias("holds"), self.key, self.title, self.ts)
-        self._append(rows, 0, self.parts)
+        self._append(self._all_held(facts), 0, self.parts)
         spark.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{LOADS}' = '0', '{PARTS}' = '{self.parts}')")
 
     def note(self, changed: DataFrame, old: DataFrame | None = None) -> None:
@@ -81,7 +83,8 @@ class TitleIndex:
         new = new.where(F.col(known).isNull() | ~same)
         held = grams(F.col(self.title))
         both = F.concat(_said(held, True), _said(F.array_except(grams(F.col(was)), held), False))
-        rows = new.select(self.key, self.title, self.ts, F.explode(both).alias(entry))
+        dealt = self._dealt(new.select(self.key, self.title, self.ts, was), changed.count())
+        rows = dealt.select(self.key, self.title, self.ts, F.explode(both).alias(entry))
         # The number is taken before rows are written: a rerun writes under a later one.
         version = int(self._property(spark, LOADS)) + 1
         spark.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{LOADS}' = '{version}')")
@@ -102,9 +105,11 @@ class TitleIndex:
         # One number for each trigram of the keyword, from a scan of that column alone.
         sizes = {r.gram: r["count"] for r in rows_of(wanted).groupBy("gram").count().collect()} if wanted[1:] else {}
         rarest = min(wanted, key=lambda gram: (sizes.get(gram, 0), gram))
-        said = F.struct("version", "holds", self.title, self.ts)
+        # Titles are compared before rows are exchanged: a flag travels in their place.
+        matches = (F.col("holds") & title_like(keyword, self.title)).alias("matches")
+        said = F.struct("version", matches, self.ts)
         latest = rows_of([rarest]).groupBy(self.key).agg(F.max(said).alias("_last")).select(self.key, "_last.*")
-        found = latest.where(F.col("holds") & title_like(keyword, self.title))
+        found = latest.where("matches")
         return found.orderBy(F.col(self.ts).desc(), F.col(self.key).desc()).limit(limit).select(self.key)
 
     def narrowed(self, facts: DataFrame, parts: int, keyword: str, limit: int) -> DataFrame:
@@ -120,13 +125,26 @@ class TitleIndex:
         rows = spark.sql(f"SHOW TBLPROPERTIES {self.table}").where(F.col("key") == name).collect()
         return rows[0].value if rows else None
 
+    def _dealt(self, rows: DataFrame, at_most: int) -> DataFrame:
+        """Postings in slices, by key: few rows make one slice, a hot trigram is in many."""
+        return rows.repartition(max(1, math.ceil(at_most / SLICE_ROWS)), self.key)
+
+    def _all_held(self, facts: DataFrame) -> DataFrame:
+        rows = self._dealt(facts.select(self.key, self.title, self.ts), facts.count())
+        held = F.explode(grams(F.col(self.title))).alias("gram")
+        return rows.select(held, F.lit(True).alias("holds"), self.key, self.title, self.ts)
+
     def _append(self, rows: DataFrame, version: int, parts: int) -> None:
-        rows = rows.withColumns(
-            {"version": F.lit(version).cast("long"), GRAM_PARTITION: F.pmod(F.hash("gram"), F.lit(parts))}
-        )
-        # A rebalance splits the rows of a hot trigram over several files.
-        laid = rows.hint("rebalance", GRAM_PARTITION).sortWithinPartitions(GRAM_PARTITION, "gram")
-        laid.write.format("parquet").mode("append").partitionBy(GRAM_PARTITION).saveAsTable(self.table)
+        to = _laid(rows, version, parts).write.format("parquet").option("compression", "zstd")
+        to.mode("append").partitionBy(GRAM_PARTITION).saveAsTable(self.table)
+
+
+def _laid(rows: DataFrame, version: int, parts: int) -> DataFrame:
+    """Rows as they are written: sorted in their tasks, without an exchange."""
+    rows = rows.withColumns(
+        {"version": F.lit(version).cast("long"), GRAM_PARTITION: F.pmod(F.hash("gram"), F.lit(parts))}
+    )
+    return rows.sortWithinPartitions(GRAM_PARTITION, "gram")
 
 
 def _said(found: Column, holds: bool) -> Column:

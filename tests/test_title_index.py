@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from postlake.fixtures import raw_postings
 from postlake.operators.filters import title_like
 from postlake.plans import daily
-from postlake.sinks import keyed
+from postlake.sinks import keyed, title_index
 from postlake.sinks import tables as sinks
 from postlake.sinks.title_index import GRAM_PARTITION, TitleIndex, grams_of_keyword, upsert_indexed
 from postlake.sources.landing import write_landing
@@ -83,6 +83,31 @@ def test_unchanged_rows_add_nothing_and_a_cut_off_load_is_mended(spark):
     assert TitleIndex("empty_titles").newest(spark, "data", 5).count() == 0
 
 
+def test_slices_of_postings_are_written_where_they_are_sorted(spark, monkeypatch):
+    monkeypatch.setattr(title_index, "SLICE_ROWS", 50)
+    facts, index = rows_of(spark, random.Random(3), range(200)), TitleIndex("sliced_titles", parts=2)
+    laid = title_index._laid(index._all_held(facts), 0, 2)
+    above, below = laid._jdf.queryExecution().executedPlan().toString().split("Generate", 1)
+    assert "Exchange" not in above and below.count("Exchange") == 1
+    assert laid.rdd.getNumPartitions() == 4
+    index.build(facts)
+    for keyword in ("data", "d_ta eng", "no such title"):
+        want = [k for k, _, _ in found(facts.where(title_like(keyword)))]
+        assert [r.job_id for r in index.newest(spark, keyword, 7).collect()] == want
+
+
+def test_a_large_table_is_created_by_more_tasks_than_parts(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "FILE_ROWS", 25)
+    facts = rows_of(spark, random.Random(4), range(200))
+    assert keyed._laid_out(facts, "job_id", 4, 200).rdd.getNumPartitions() == 8
+    keyed.upsert_keyed(facts, "many_files", "job_id", parts=4)
+    keyed.upsert_keyed(facts.limit(90).withColumn("other", F.lit("z")), "many_files", "job_id")
+    table = spark.table("many_files")
+    assert table.where(F.col("key_part") != keyed.key_part("job_id", 4)).isEmpty()
+    assert table.count() == table.select("job_id").distinct().count() == 200
+    assert table.groupBy("job_id").count().where("count > 1").isEmpty() and table.where("other = 'z'").count() == 90
+
+
 def test_a_daily_run_keeps_the_index(spark, tmp_path, sf_dir):
     day, source = dt.date(2024, 1, 15), get_source("careerviet")
     lake = daily.Lake(f"{tmp_path}/landing", f"{tmp_path}/aside", buckets=8, prefix="titled_", title_index=True)
