@@ -44,7 +44,7 @@ def hrefs(html: Column, scope: str | None = None) -> Column:
 
 def inner_text(markup: Column) -> Column:
     """Text without tags and without the white space around it; named entities resolved."""
-    bare = F.regexp_replace(markup, r"<[^>]*>", "")
+    bare = F.when(markup.contains("<"), F.regexp_replace(markup, r"<[^>]*>", "")).otherwise(markup)
     text = F.when(markup.contains("&"), _resolved(bare)).otherwise(bare)
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 

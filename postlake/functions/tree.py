@@ -10,6 +10,7 @@ linear in the tags for each level that holds a wanted element.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -31,50 +32,63 @@ CLOSES_P = (
 
 _UNREAD = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 _TAG = r"</?[a-zA-Z][a-zA-Z0-9-]*\b[^>]*>"
+# What is no tag or one that holds a "<".
+_NOT_SIMPLE = r"<(?!/?[a-zA-Z][a-zA-Z0-9-]*\b[^<>]*>)"
 _BLOCK = 32
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Names whose tags leave ``block`` as it is, by first letter: fewer branches to try.
+_BY_LETTER = (f"{a}(?:{'|'.join(n[1:] for n in (*VOID, *LOOSE) if n[0] == a)})" for a in sorted({n[0] for n in (*VOID, *LOOSE)}))
+_FLAT = rf"(?i)^/?(?:{'|'.join(_BY_LETTER)})(?![a-zA-Z0-9-])"
 
 Test = Callable[[Column], Column]
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once, however often ``use`` names it."""
-    return F.transform(F.array(value), use)[0]
+    # Not [0], which works out the type of the whole list anew for each row.
+    return F.element_at(F.transform(F.array(value), use), F.lit(1))
 
 
 def has_class(name: str) -> Test:
     """Start tags of a class."""
     value = rf"[^\"'>]*(?<![\w-]){name}(?![\w-])[^\"'>]*"
-    # Most tags have no attribute: those need no search.
-    return lambda node: node["tag"].contains("=") & node["tag"].rlike(rf"(?i)^<[a-z][^>]*?\sclass\s*=\s*[\"']{value}[\"']")
+    pattern = rf"(?i)^<?[a-z][^>]*?\sclass\s*=\s*[\"']{value}[\"']"
+    plain = re.fullmatch(r"[\w-]+", name, re.ASCII)
+
+    def test(node: Column) -> Column:
+        # Most tags have no attribute, and few that have one name the class: the others need no search.
+        held = node["tag"].contains("=")
+        if plain:
+            held &= node["tag"].contains(name) | F.lower(node["tag"]).contains(name.lower())
+        return held & node["tag"].rlike(pattern)
+
+    return test
 
 
 def running_depth(steps: Column) -> Column:
     """Running sums of steps, never below 0.
 
-    Growing an array copies it, so sums run in blocks first.  A block entered at depth d is at
-    ``greatest(d + sum, up)``: its plain sum, or its own sum held at 0.
+    Growing an array copies it, so sums run in blocks, each of which begins with the last sum before it.
     """
-    none = F.expr("named_struct('sum', 0, 'up', 0, 'out', CAST(array() AS array<struct<sum: int, up: int>>))")
+    last = lambda sums: F.element_at(sums, F.lit(-1))
 
-    def step(done: Column, by: Column) -> Column:
-        total, up = (done["sum"] + by).alias("sum"), F.greatest(done["up"] + by, F.lit(0)).alias("up")
-        return F.struct(total, up, F.concat(done["out"], F.array(F.struct(total, up))).alias("out"))
-
-    def entered(done: Column, part: Column) -> Column:
-        at = lambda p: F.greatest(done["depth"] + p["sum"], p["up"])
-        last = at(F.element_at(part, F.lit(-1))).alias("depth")
-        return F.struct(last, F.concat(done["outs"], F.array(F.transform(part, at))).alias("outs"))
+    def added(sums: Column, by: Column) -> Column:
+        return F.array_append(sums, F.greatest(last(sums) + by, F.lit(0)))
 
     def summed(all_steps: Column) -> Column:
-        numbers = F.sequence(F.lit(0), F.floor((F.size(all_steps) - 1) / _BLOCK).cast("int"))
-        blocks = F.transform(
-            numbers,
-            lambda n: F.aggregate(F.slice(all_steps, n * _BLOCK + 1, F.lit(_BLOCK)), none, step)["out"],
-        )
-        start = F.expr("named_struct('depth', 0, 'outs', CAST(array() AS array<array<int>>))")
-        outs = F.flatten(F.aggregate(blocks, start, entered)["outs"])
-        return F.when(F.size(all_steps) > 0, outs).otherwise(F.expr("CAST(array() AS array<int>)"))
+        size = F.size(all_steps)
+
+        def block(done: Column, n: Column) -> Column:
+            # Not a slice, which walks over all that lies before it.
+            places = F.sequence(n * _BLOCK, F.least(n * _BLOCK + _BLOCK, size) - 1)
+            sums = F.aggregate(places, F.array(last(last(done))), lambda s, i: added(s, F.get(all_steps, i)))
+            return F.array_append(done, sums)
+
+        numbers = F.sequence(F.lit(0), F.floor((size - 1) / _BLOCK).cast("int"))
+        outs = F.aggregate(numbers, F.array(F.array(F.lit(0))), block)
+        many = F.flatten(F.transform(outs, lambda out: F.slice(out, 2, _BLOCK)))
+        few = F.slice(F.aggregate(all_steps, F.array(F.lit(0)), added), 2, _BLOCK)
+        return F.when(size <= _BLOCK, few).otherwise(many)
 
     return bound(steps, summed)
 
@@ -202,17 +216,111 @@ def _covered(found: Column, box: Column, place: Column) -> Column:
     return F.exists(earlier, lambda b: b["end"] > box["start"])
 
 
+def _cut(html: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """``use`` of the tags of a page in order, without their "<" and with the text that follows, and of
+    ``block`` as in ``nodes``."""
+
+    def side(tag: Column) -> Column:
+        return F.when(tag.rlike(_FLAT), 0).when(tag.startswith("/"), -1).otherwise(1)
+
+    def tags(page: Column) -> Column:
+        most = F.char_length(page) + 1
+        found = F.regexp_extract_all(page, F.lit(_TAG), F.lit(0))
+        texts = F.slice(F.split(page, _TAG, -1), F.lit(2), most)
+        both = F.zip_with(found, texts, lambda tag, text: F.concat(tag.substr(F.lit(2), F.char_length(tag)), text))
+        return F.when(page.rlike(_NOT_SIMPLE), both).otherwise(F.slice(F.split(page, "<", -1), F.lit(2), most))
+
+    def of_tags(found: Column) -> Column:
+        return bound(running_depth(F.transform(found, side)), lambda block: use(found, block))
+
+    # Only pages with these can hold what is not read.
+    unread = html.contains("<!--") | html.contains("<s") | html.contains("<S")
+    read = F.when(unread, F.regexp_replace(html, _UNREAD, "")).otherwise(html)
+    return F.when(html.isNotNull(), bound(read, lambda page: bound(tags(page), of_tags)))
+
+
+def _end(tags: Column, block: Column, start: Column, most: Column, wanted: Callable[[Column], Column]) -> Column:
+    """Where the element that starts there ends, as in ``spans``; ``most`` if that comes first.
+
+    Most elements are short: the next tags are tried one by one, later ones in windows that grow.
+    """
+    level = F.get(block, start)
+
+    def name_of(i: Column) -> Column:
+        return F.lower(F.regexp_extract(F.get(tags, i), r"^/?([a-zA-Z][a-zA-Z0-9-]*)", 1))
+
+    def searched(ends: Callable[[Column], Column], near: int, *windows: int) -> Column:
+        found, since = [F.when(ends(start + k), start + k) for k in range(1, near + 1)], near + 1
+        for n in (*windows, None):
+            left = most - start - since
+            last = start + since - 1 + (left if n is None else F.least(left, F.lit(n)))
+            found.append(F.when(left > 0, F.get(F.filter(F.sequence(start + since, last), ends), F.lit(0))))
+            since += n or 0
+        return F.least(F.coalesce(*found, most), most)
+
+    def of_flat(name: Column) -> Column:
+        def ends(i: Column) -> Column:
+            at = F.get(block, i)
+            same = (at == level) & (name.isin(*LOOSE) | wanted(i)) & (name_of(i) == name)
+            in_p = (at == level + 1) & (name == "p") & ~F.get(tags, i).startswith("/") & name_of(i).isin(*CLOSES_P)
+            return (at < level) | same | in_p
+
+        return searched(ends, 0, 4, 64, 1024)
+
+    below = searched(lambda i: F.get(block, i) < level, 8, 128, 2048)
+    return F.when(F.get(tags, start).rlike(_FLAT), bound(name_of(start), of_flat)).otherwise(below)
+
+
 def group_values(html: Column, group: Test, label: Test, value: Test) -> Column:
     """(label, value) of each group element: the texts of the first label and the first value
     element in it; NULL where it has none."""
 
-    def first(part: Column, wanted: Test) -> Column:
-        return bound(F.get(spans(part, wanted), F.lit(0)), lambda s: F.when(s.isNotNull(), _text(part, s)))
-
-    def of_group(part: Column) -> Column:
-        return F.struct(first(part, label).alias("label"), first(part, value).alias("value"))
+    def of_page(tags: Column, block: Column) -> Column:
+        def marks(places: Column) -> Column:
+            """A "1" at each place, a "0" at those between."""
+            gap = lambda i, k: F.repeat(F.lit("0"), i - F.coalesce(F.get(places, k - 1), F.lit(-1)) - 1)
+            return F.array_join(F.transform(places, lambda i, k: F.concat(gap(i, k), F.lit("1"))), "")
+
+        def marked(here: Column, i: Column) -> Column:
+            return F.substring(here, i + 1, F.lit(1)) == "1"
+
+        def text(start: Column, stop: Column) -> Column:
+            own = lambda tag: tag.substr(F.instr(tag, ">") + 1, F.char_length(tag))
+            all_own = F.array_join(F.transform(F.sequence(start, stop - 1), lambda i: own(F.get(tags, i))), "")
+            return bound(F.when(stop == start + 1, own(F.get(tags, start))).otherwise(all_own), inner_text)
+
+        def first(start: Column, stop: Column, here: Column) -> Column:
+            def of_place(at: Column) -> Column:
+                end = _end(tags, block, at, stop, lambda i: marked(here, i))
+                return F.when((at >= start) & (at < stop), bound(end, lambda e: text(at, e)))
+
+            return bound(F.call_function("locate", F.lit("1"), here, start + 1) - 1, of_place)
+
+        def of_marks(starts: Column, groups: Column, labels: Column, values: Column) -> Column:
+            def of_group(start: Column) -> Column:
+                return bound(
+                    _end(tags, block, start, F.size(tags), lambda i: marked(groups, i)),
+                    lambda stop: bound(
+                        F.transform(F.array(labels, values), lambda here: first(start, stop, here)),
+                        lambda texts: F.struct(F.get(texts, 0).alias("label"), F.get(texts, 1).alias("value")),
+                    ),
+                )
+
+            return F.transform(starts, of_group)
+
+        def of_places(places: Column) -> Column:
+            kept = lambda wanted: F.filter(places, lambda i: wanted({"tag": F.get(tags, i)}))
+            mark = lambda wanted, use: bound(kept(wanted), lambda found: bound(marks(found), use))
+            return bound(
+                kept(group),
+                lambda starts: bound(
+                    marks(starts),
+                    lambda g: mark(label, lambda n: mark(value, lambda v: of_marks(starts, g, n, v))),
+                ),
+            )
 
-    def of_page(page: Column) -> Column:
-        return F.transform(spans(page, group), lambda s: bound(_slice(page, s), of_group))
+        # Tags without an attribute are not asked for more.
+        with_attributes = F.filter(F.sequence(F.lit(0), F.size(tags)), lambda i: F.get(tags, i).contains("="))
+        return bound(with_attributes, of_places)
 
-    return bound(nodes(html, deep=False), of_page)
+    return _cut(html, of_page)

@@ -323,3 +323,44 @@ def test_nesting_counts_only_the_levels_asked_for(spark):
     ]
     assert [x.name for x in flat[0].n] == ["div", "p", "p", "div", "a", "a", "i", "b"]
     assert [x.text for x in flat[0].n] == ["a", "x &amp; y", "z", "", "l", "", "", "t"]
+
+
+def test_groups_equal_a_reading_by_spans(spark):
+    import random
+
+    draw = random.Random(3)
+    opens = ["<div>", "<div class='g'>", "<p class='l'>", "<DIV class=\"x v\">", "<li class='g l'>", "<b>", "<img class='v'>", "<span>"]
+    others = ["</div>", "</p>", "</span>", "</li>", "x ", "1 < 2", "a<b", "<a title='<i>'>", "&amp;", "<!-- <div> -->", "<style><p></style>"]
+    pages = ["".join(draw.choice(opens + others) for _ in range(n)) for n in (0, 5, 20, 40, 80, 150) for _ in range(40)]
+    # An element that goes on beyond every window of the search, and one that nothing ends.
+    pages += [f"<div class='g'><p class='l'>a<b>{'<i>b</i>' * n}<div class='v'>{'<div>c</div>' * n}</div></div>d" for n in (3, 70, 1100)]
+    pages += ["<div class='g'><i class='l'>" + "<br>" * 50]
+    rows = spark.createDataFrame([(p,) for p in pages] + [(None,)], "html string").repartition(8)
+    is_group, is_label, is_value = map(tree.has_class, ("g", "l", "v"))
+
+    def first(part, wanted):
+        span = F.get(tree.spans(part, wanted), F.lit(0))
+        return tree.bound(span, lambda s: F.when(s.isNotNull(), tree._text(part, s)))
+
+    def pair(part):
+        return F.struct(first(part, is_label).alias("label"), first(part, is_value).alias("value"))
+
+    def of_page(page):
+        return F.transform(tree.spans(page, is_group), lambda s: tree.bound(tree._slice(page, s), pair))
+
+    found = rows.select(
+        tree.group_values(F.col("html"), is_group, is_label, is_value).alias("now"),
+        tree.bound(tree.nodes(F.col("html"), deep=False), of_page).alias("want"),
+    ).collect()
+    assert len(found) == len(pages) + 1 and sum(len(r.now or ()) for r in found) > 300
+    assert all(r.now == r.want for r in found)
+
+
+def test_an_element_ends_at_the_first_tag_below_it(spark):
+    """Far from its start too, and at the limit given if that comes first."""
+    lengths = (1, 4, 5, 8, 9, 136, 137, 2300)
+    rows = [(["div"] + ["i"] * n + ["/div", "br"], [1] * (n + 1) + [0, 0], n) for n in lengths]
+    df = spark.createDataFrame(rows, "tags array<string>, block array<int>, n int")
+    end = lambda most: tree._end(F.col("tags"), F.col("block"), F.lit(0), most, lambda i: F.lit(False))
+    found = df.select("n", end(F.size("tags")).alias("end"), end(F.lit(3)).alias("cut")).collect()
+    assert [(r.end, r.cut) for r in found] == [(r.n + 1, min(r.n + 1, 3)) for r in found]
